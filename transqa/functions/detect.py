@@ -59,7 +59,7 @@ def detect_language(
     tokens = words(prefix(text, chars))
     ranked = [
         F.struct(
-            F.size(F.filter(tokens, lambda w, p=profiles[code]: w.isin(*p))).alias("hits"),
+            F.size(_among(tokens, profiles[code])).alias("hits"),
             F.lit(-rank).alias("order"),
             F.lit(code).alias("code"),
         )
@@ -71,3 +71,7 @@ def detect_language(
         .when(best["hits"] > 0, best["code"])
         .otherwise(F.lit(UNDETERMINED))
     )
+
+
+def _among(tokens: Column, chosen: tuple[str, ...]) -> Column:
+    return F.filter(tokens, lambda word: word.isin(*chosen))
