@@ -102,7 +102,7 @@ def quality_by_endpoint(
     )
     records = evaluation_records(rows, settings, keep=["endpoint"], cut=settings.prefixes.compare)
     scorers = [completeness_scorer(), guidelines_scorer(settings)]
-    evaluated = evaluate(records, scorers, inference)
+    evaluated = evaluate(records, scorers, inference, ["endpoint"])
     scores = tidy_scores(evaluated, [s.name for s in scorers], ["endpoint"])
     return scorer_metrics(scores, by=["endpoint"])
 

@@ -18,15 +18,16 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from transqa.operators.joins import any_of, spread_left_join
 from transqa.sources.tables import StageTables
 
 ANSWER_TYPE = "struct<answer:string,error:string>"
@@ -51,14 +52,16 @@ ClientFactory = Callable[[], ModelClient]
 class Task:
     """One prompt column to be answered into ``out``.
 
-    Rows whose prompt is NULL are never sent. ``name`` becomes the span name and
-    ``endpoint`` may be a column, so that rows choose their model.
+    Rows outside ``when`` and rows whose prompt is NULL are never sent. ``name``
+    becomes the span name, and ``endpoint`` may be a column, so that rows
+    choose their model.
     """
 
     name: str
     endpoint: str | Column
     prompt: Column
     out: str
+    when: Column | None = None
 
     @property
     def endpoint_column(self) -> Column:
@@ -67,8 +70,24 @@ class Task:
     @property
     def key(self) -> Column:
         """Digest that names the call: NULL when there is nothing to ask."""
-        text = F.concat_ws("|", F.lit(self.name), self.endpoint_column, self.prompt)
-        return F.when(self.prompt.isNotNull(), F.sha2(text, 256))
+        call = F.concat(F.lit(f"{self.name}|"), self.endpoint_column, F.lit("|"), self.prompt)
+        digest = F.sha2(call, 256)
+        return digest if self.when is None else F.when(self.when, digest)
+
+    def only(self, condition: Column) -> Task:
+        """The same task, asked for fewer rows."""
+        return replace(self, when=condition if self.when is None else self.when & condition)
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Calls that very many rows share; ``salts`` is how far each is spread."""
+
+    keys: tuple[str, ...] = ()
+    salts: int = 1
+
+    def has(self, key: Column) -> Column | None:
+        return any_of(key, self.keys) if self.keys else None
 
 
 @dataclass(frozen=True)
@@ -109,7 +128,8 @@ class Inference:
 
     ``parallelism`` is the number of partitions calls are spread over; with
     ``threads_per_task`` it bounds the calls in flight. ``rounds`` splits the work
-    into that many appends, so a lost driver repeats at most one round.
+    into that many appends, so a lost driver repeats at most one round. A call
+    shared by ``hot_rows`` rows or more is spread when answers are joined.
     """
 
     client_factory: ClientFactory
@@ -117,18 +137,29 @@ class Inference:
     parallelism: int | None = None
     threads_per_task: int = 1
     rounds: int = 1
+    hot_rows: int = 200_000
+
+    def run(
+        self, df: DataFrame, tasks: Sequence[Task], carry: Sequence[str] | None = None
+    ) -> DataFrame:
+        """Answer the tasks' prompts for every row; adds one struct column per task.
+
+        ``carry`` names the columns to keep; leaving texts out of it keeps them
+        out of the join.
+        """
+        hot = self.answer(df, tasks)
+        return attach_answers(df, tasks, self.store, carry, hot)
 
-    def run(self, df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
-        """Answer the tasks' prompts for every row; adds one struct column per task."""
-        self.answer(df, tasks)
-        return attach_answers(df, tasks, self.store)
+    def answer(self, df: DataFrame, tasks: Sequence[Task]) -> HotKeys:
+        """Call the model for prompts that have no good answer yet.
 
-    def answer(self, df: DataFrame, tasks: Sequence[Task]) -> None:
-        """Call the model for prompts that have no good answer yet."""
-        prompts = self.unanswered(df, tasks)
+        The calls shared by many rows are noted on the way, in the same job.
+        """
+        seen = Observation()
+        prompts = self._pending(df, tasks, seen)
         if self.rounds == 1:
-            self.store.append(self._call(prompts))
-            return
+            self.store.append(self._call(self._spread(prompts)))
+            return self._hot_keys(seen)
         # The pending prompts are written once, by round, so that each round prunes
         # to its own files instead of scanning the documents again.
         pending = self.store.tables.replace(
@@ -138,19 +169,44 @@ class Inference:
         )
         for number in range(self.rounds):
             batch = pending.where(F.col("round") == number).drop("round")
-            self.store.append(self._call(batch.repartition(self._partitions(df), "key")))
+            self.store.append(self._call(self._spread(batch)))
+        return self._hot_keys(seen)
 
     def unanswered(self, df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
-        """Distinct prompts still to be sent, spread evenly by digest."""
+        """Distinct prompts still to be sent, as they are spread for calling."""
+        return self._spread(self._pending(df, tasks, Observation()))
+
+    def _pending(self, df: DataFrame, tasks: Sequence[Task], seen: Observation) -> DataFrame:
+        """Distinct prompts without a good answer.
+
+        The anti join finds both sides partitioned by key: only digests of the
+        stored answers are shuffled for it.
+        """
+        hot = F.when(F.col("copies") >= self.hot_rows, F.struct("copies", "key"))
+        prompts = distinct_prompts(df, tasks).observe(seen, F.collect_list(hot).alias("hot"))
         good = self.store.for_tasks([t.name for t in tasks]).where(F.col("error").isNull())
-        return (
-            distinct_prompts(df, tasks)
-            .repartition(self._partitions(df), "key")
-            .join(good.select("key"), "key", "left_anti")
-        )
+        return prompts.drop("copies").join(good.select("key"), "key", "left_anti")
+
+    def _spread(self, prompts: DataFrame) -> DataFrame:
+        """Exactly the wished number of partitions.
+
+        Hashing something else than the bare key keeps this shuffle from being
+        merged into the one before, which adaptive execution may make smaller.
+        """
+        session = prompts.sparkSession
+        count = self.parallelism or session.sparkContext.defaultParallelism
+        return prompts.repartition(count, F.xxhash64("key"))
 
-    def _partitions(self, df: DataFrame) -> int:
-        return self.parallelism or df.sparkSession.sparkContext.defaultParallelism
+    def _hot_keys(self, seen: Observation) -> HotKeys:
+        """The most shared calls; at most ``rows / hot_rows`` calls can be that hot.
+
+        Calls beyond the first thousand are joined without a salt.
+        """
+        found = sorted(((h["copies"], h["key"]) for h in seen.get["hot"]), reverse=True)[:1000]
+        if not found:
+            return HotKeys()
+        salts = min(max(2, -(-found[0][0] // self.hot_rows)), 1000)
+        return HotKeys(tuple(key for _, key in found), salts)
 
     def _call(self, prompts: DataFrame) -> DataFrame:
         call = _caller(self.client_factory, self.threads_per_task)
@@ -158,7 +214,7 @@ class Inference:
 
 
 def distinct_prompts(df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
-    """Distinct ``(key, task, endpoint, prompt)`` over all tasks.
+    """Distinct ``(key, task, endpoint, prompt)`` over all tasks, and their ``copies``.
 
     Duplicates are dropped by digest before and after the shuffle, so
     a prompt shared by a third of all rows travels once per input partition.
@@ -172,65 +228,94 @@ def distinct_prompts(df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
         )
         for t in tasks
     ]
+    conditions = [t.when for t in tasks]
+    if all(c is not None for c in conditions):
+        df = df.where(_either(conditions))
     each = asked[0] if len(asked) == 1 else F.explode(F.array(*asked))
-    rows = df.select(each.alias("p")).select("p.*")
-    return rows.where(F.col("key").isNotNull()).dropDuplicates(["key"])
+    rows = df.select(each.alias("p")).select("p.*").where(F.col("key").isNotNull())
+    return rows.groupBy("key").agg(
+        *[F.first(c).alias(c) for c in ("task", "endpoint", "prompt")],
+        F.count("*").alias("copies"),
+    )
 
 
-def attach_answers(df: DataFrame, tasks: Sequence[Task], store: AnswerStore) -> DataFrame:
+def attach_answers(
+    df: DataFrame,
+    tasks: Sequence[Task],
+    store: AnswerStore,
+    carry: Sequence[str] | None = None,
+    hot: HotKeys = HotKeys(),
+) -> DataFrame:
     """Join stored answers to rows.
 
-    Rows with nothing to ask skip the join in a branch of their own; in the join
-    they would all carry a NULL key and meet in one partition. However many
-    tasks there are, the wide rows are shuffled once: answers are first gathered
-    per distinct set of keys, which moves digests only.
+    Rows outside every task's ``when`` skip the join in a branch of their own; in
+    the join they would all carry a NULL key and meet in one partition. However
+    many tasks there are, rows are shuffled once: answers are first gathered per
+    distinct set of keys, for which only digests move.
     """
-    columns = df.columns
+    columns = list(df.columns if carry is None else carry)
     outs = [t.out for t in tasks]
-    keys = [f"_key_{i}" for i in range(len(tasks))]
-    nothing = F.lit(None).cast(ANSWER_TYPE)
-    no_prompt = F.lit(True)
-    for task in tasks:
-        no_prompt = no_prompt & task.prompt.isNull()
-
-    idle = df.where(no_prompt).select(*columns, *[nothing.alias(out) for out in outs])
-    asked = df.where(~no_prompt)
     answers = store.latest([t.name for t in tasks])
+    conditions = [t.when for t in tasks]
+    split = all(c is not None for c in conditions)
+    asked = df.where(_either(conditions)) if split else df
+    row_hash = F.xxhash64(*df.columns)
+
     if len(tasks) == 1:
-        joined = asked.withColumn("_set", tasks[0].key).join(
-            answers.select(F.col("key").alias("_set"), F.col("reply").alias(outs[0])),
-            "_set",
-            "left",
+        replies = answers.select(F.col("key").alias("_set"), F.col("reply").alias(outs[0]))
+        rows = asked.select(*columns, tasks[0].key.alias("_set"), row_hash.alias("_row"))
+        joined = spread_left_join(
+            rows, replies, "_set", hot.has(F.col("_set")), F.col("_row"), hot.salts
         )
-        return joined.select(*columns, *outs).unionByName(idle)
-
-    key_set = F.sha2(F.concat_ws("|", *[F.coalesce(t.key, F.lit("-")) for t in tasks]), 256)
-    asked = asked.withColumn("_set", key_set)
-    members = F.filter(
-        F.array(
-            *[
-                F.struct(F.lit(i).alias("slot"), t.key.alias("key"))
-                for i, t in enumerate(tasks)
-            ]
-        ),
-        lambda m: m["key"].isNotNull(),
-    )
-    needed = (
-        asked.select("_set", F.explode(members).alias("m"))
-        .select("_set", "m.slot", "m.key")
-        .distinct()
-    )
-    gathered = (
-        needed.join(answers, "key")
-        .groupBy("_set")
-        .agg(
-            *[
-                F.max(F.when(F.col("slot") == i, F.col("reply"))).alias(out)
-                for i, out in enumerate(outs)
-            ]
+    else:
+        keys = F.array(*[t.key for t in tasks])
+        rows = asked.select(*columns, keys.alias("_keys"), row_hash.alias("_row"))
+        key_set = F.sha2(F.array_join("_keys", "|", "-"), 256)
+        # Never NULL, which spares a filter that would digest every row again.
+        rows = rows.withColumn("_set", F.coalesce(key_set, F.lit("")))
+        rows = rows.withColumn("_hot", _all_hot(F.col("_keys"), hot))
+        gathered = _gather(rows.select("_set", "_hot", "_keys"), answers, outs, hot)
+        rows = rows.drop("_keys")
+        joined = spread_left_join(
+            rows, gathered, "_set", F.col("_hot") if hot.keys else None, F.col("_row"), hot.salts
         )
+    joined = joined.select(*columns, *outs)
+    if not split:
+        return joined
+    nothing = F.lit(None).cast(ANSWER_TYPE)
+    idle = df.where(~_either(conditions)).select(*columns, *[nothing.alias(o) for o in outs])
+    return joined.unionByName(idle)
+
+
+def _gather(sets: DataFrame, answers: DataFrame, outs: Sequence[str], hot: HotKeys) -> DataFrame:
+    """Answers of each distinct set of keys, side by side."""
+    members = (
+        sets.distinct()
+        .select("_set", "_hot", F.posexplode("_keys").alias("slot", "key"))
+        .where(F.col("key").isNotNull())
     )
-    return asked.join(gathered, "_set", "left").select(*columns, *outs).unionByName(idle)
+    found = spread_left_join(
+        members, answers, "key", hot.has(F.col("key")), F.xxhash64("_set"), hot.salts
+    )
+    by_slot = [
+        F.max(F.when(F.col("slot") == i, F.col("reply"))).alias(out) for i, out in enumerate(outs)
+    ]
+    keep_hot = ["_hot"] if hot.keys else []
+    return found.groupBy("_set", *keep_hot).agg(*by_slot)
+
+
+def _all_hot(keys: Column, hot: HotKeys) -> Column:
+    """A set of keys can only be hot where each of its keys is."""
+    if not hot.keys:
+        return F.lit(False)
+    return F.forall(keys, lambda k: k.isNull() | any_of(k, hot.keys))
+
+
+def _either(conditions: Sequence[Column]) -> Column:
+    result = F.coalesce(conditions[0], F.lit(False))
+    for condition in conditions[1:]:
+        result = result | F.coalesce(condition, F.lit(False))
+    return result
 
 
 def _caller(factory: ClientFactory, threads: int) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:

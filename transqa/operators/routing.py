@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transqa.functions.text import col, is_english
-from transqa.operators.scoring import COMPLETENESS, LANGUAGE, SEMANTIC
+from transqa.operators.scoring import COMPLETENESS, SEMANTIC
 
 # The statuses a document can get.
 SKIPPED, APPROVED, REJECTED, NEEDS_REVIEW = "SKIPPED", "APPROVED", "REJECTED", "NEEDS_REVIEW"
@@ -27,11 +27,13 @@ def status(lang: Column | str, semantic: Column, complete: Column) -> Column:
     )
 
 
-def route(evaluated: DataFrame, keep: Sequence[str | Column]) -> DataFrame:
+def route(
+    evaluated: DataFrame, keep: Sequence[str | Column], lang: Column | str = "detected_language"
+) -> DataFrame:
     """Narrow result per document: status and the two rationales."""
     return evaluated.select(
         *keep,
-        status(LANGUAGE, F.col(f"{SEMANTIC}.value"), F.col(f"{COMPLETENESS}.value")).alias("status"),
+        status(lang, F.col(f"{SEMANTIC}.value"), F.col(f"{COMPLETENESS}.value")).alias("status"),
         F.col(f"{SEMANTIC}.rationale").alias("semantic_preservation_rationale"),
         F.col(f"{COMPLETENESS}.rationale").alias("completeness_rationale"),
     )

@@ -44,11 +44,16 @@ BACK_TEXT = "outputs.back_translation"
 
 @dataclass(frozen=True)
 class Scorer:
-    """A named verdict: a column of type ``struct<value,rationale,error>``."""
+    """A named verdict: a column of type ``struct<value,rationale,error>``.
+
+    ``direct`` is the verdict that needs no model; where it is NULL, ``judged`` reads
+    the answers of ``tasks``.
+    """
 
     name: str
-    feedback: Column
+    direct: Column | None = None
     tasks: tuple[Task, ...] = ()
+    judged: Column | None = None
 
 
 def scorer(name: str) -> Callable[[Callable[[Column, Column], Column]], Scorer]:
@@ -105,11 +110,12 @@ def semantic_scorer(settings: Settings) -> Scorer:
         JUDGE_PROMPT, lang=LANGUAGE, original=prefix(ORIGINAL, cut), back=prefix(BACK_TEXT, cut)
     )
     english = is_english(LANGUAGE)
-    task = Task(SEMANTIC, settings.endpoints.judge, F.when(~english, prompt), "_semantic")
-    verdict = F.when(english, feedback(True, SEMANTIC_ENGLISH_RATIONALE)).otherwise(
-        _judged(task)
+    task = Task(
+        SEMANTIC, settings.endpoints.judge, prompt, "_semantic",
+        ~english & _present(LANGUAGE, ORIGINAL, BACK_TEXT),
     )
-    return Scorer(SEMANTIC, verdict, (task,))
+    unasked = F.when(english, feedback(True, SEMANTIC_ENGLISH_RATIONALE))
+    return Scorer(SEMANTIC, unasked, (task,), _judged(task))
 
 
 def guidelines_scorer(
@@ -132,6 +138,7 @@ def guidelines_scorer(
             settings.endpoints.judge,
             render(GUIDELINE_PROMPT, rule=F.lit(rule), original=ORIGINAL, translation=ENGLISH_TEXT),
             f"_{name}_{i}",
+            _present(ORIGINAL, ENGLISH_TEXT),
         )
         for i, rule in enumerate(rules)
     )
@@ -144,7 +151,7 @@ def guidelines_scorer(
         .when(F.size(broken) > 0, feedback(False, reasons))
         .otherwise(feedback(True, "All guidelines are met."))
     )
-    return Scorer(name, verdict, tasks)
+    return Scorer(name, None, tasks, verdict)
 
 
 def default_scorers(settings: Settings) -> list[Scorer]:
@@ -171,37 +178,38 @@ def evaluation_records(
 
 
 def evaluate(
-    records: DataFrame, scorers: Sequence[Scorer], inference: Inference | None = None
+    records: DataFrame,
+    scorers: Sequence[Scorer],
+    inference: Inference | None = None,
+    keep: Sequence[Column | str] = ("inputs", "outputs"),
 ) -> DataFrame:
-    """Apply all scorers to all rows; adds one feedback column per scorer.
+    """Apply all scorers to all rows: the ``keep`` columns and one verdict per scorer.
 
     Verdicts that need no model are taken before the answers are joined, and
-    verdicts of judges need no text after it. A caller that keeps keys and
-    verdicts therefore shuffles no document text here.
+    judges need no text after it. With keys alone in ``keep``, no document text is
+    shuffled for scoring.
     """
     tasks = [task for s in scorers for task in s.tasks]
     if tasks and inference is None:
         raise ValueError("these scorers ask a model: give an inference")
-    direct = {s.name: s.feedback.alias(s.name) for s in scorers if not s.tasks}
-    answered = records.select("*", *direct.values())
-    if tasks:
-        answered = inference.run(answered, tasks)
-    return answered.select(
-        *records.columns,
-        *[F.col(s.name) if s.name in direct else s.feedback.alias(s.name) for s in scorers],
-    )
-
-
-def tidy_scores(evaluated: DataFrame, names: Sequence[str], keys: Sequence[str | Column]) -> DataFrame:
+    kept = records.select(*keep).columns
+    direct = [s.direct.alias(s.name) for s in scorers if s.direct is not None]
+    named = [c for c in keep if not (isinstance(c, str) and c in records.columns)]
+    rows = records.select("*", *named, *direct)
+    if not tasks:
+        return rows.select(*kept, *[s.name for s in scorers])
+    carry = [*kept, *[s.name for s in scorers if s.direct is not None]]
+    answered = inference.run(rows, tasks, carry)
+    return answered.select(*kept, *[_verdict(s).alias(s.name) for s in scorers])
+
+
+def tidy_scores(evaluated: DataFrame, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """One row per document and scorer."""
     scores = F.array(
-        *[
-            F.struct(F.lit(n).alias("scorer"), F.col(n).alias("f"))
-            for n in names
-        ]
+        *[F.struct(F.lit(n).alias("scorer"), F.col(n).alias("verdict")) for n in names]
     )
     return evaluated.select(*keys, F.explode(scores).alias("s")).select(
-        *[c for c in _names(evaluated, keys)], F.col("s.scorer"), "s.f.value", "s.f.rationale", "s.f.error"
+        *keys, "s.scorer", "s.verdict.value", "s.verdict.rationale", "s.verdict.error"
     )
 
 
@@ -245,6 +253,15 @@ def _judged(task: Task) -> Column:
     )
 
 
-def _names(df: DataFrame, keys: Sequence[str | Column]) -> list[str]:
-    return df.select(*keys).columns
+def _verdict(scorer: Scorer) -> Column:
+    if scorer.direct is None:
+        return scorer.judged
+    taken = F.col(scorer.name)
+    return taken if scorer.judged is None else F.coalesce(taken, scorer.judged)
+
 
+def _present(*columns: str) -> Column:
+    result = F.col(columns[0]).isNotNull()
+    for name in columns[1:]:
+        result = result & F.col(name).isNotNull()
+    return result

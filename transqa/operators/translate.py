@@ -18,6 +18,7 @@ from transqa.operators.infer import Inference, Task
 DETECT = "detect_language"
 TRANSLATE = "translate_to_english"
 BACK_TRANSLATE = "back_translate"
+IS_ENGLISH = "is_english"
 
 
 def detect_task(settings: Settings, text: str = "extracted_text") -> Task:
@@ -35,18 +36,22 @@ def translate_task(
         prompt = render(TRANSLATE_PROMPT_WITH_SOURCE, text=text, lang=lang)
     else:
         prompt = render(TRANSLATE_PROMPT, text=text)
-    if settings.skip_english:
-        prompt = F.when(~is_english(lang), prompt)
-    return Task(TRANSLATE, settings.endpoints.translate if endpoint is None else endpoint,
-                prompt, "_translated")
+    chosen = settings.endpoints.translate if endpoint is None else endpoint
+    when = ~is_english(lang) if settings.skip_english else None
+    return Task(TRANSLATE, chosen, prompt, "_translated", when)
 
 
 def back_translate_task(
-    settings: Settings, english: str = "english_translation", lang: str = "detected_language"
+    settings: Settings,
+    english: str = "english_translation",
+    lang: str = "detected_language",
+    done: Column | None = None,
 ) -> Task:
+    """``done`` marks rows already in English; a partition column lets scans prune."""
     prompt = render(BACK_TRANSLATE_PROMPT, text=english, lang=lang)
-    prompt = F.when(~is_english(lang), prompt)
-    return Task(BACK_TRANSLATE, settings.endpoints.translate, prompt, "_back")
+    ready = F.col(lang).isNotNull() & F.col(english).isNotNull()
+    when = ~(is_english(lang) if done is None else done) & ready
+    return Task(BACK_TRANSLATE, settings.endpoints.translate, prompt, "_back", when)
 
 
 def detect(df: DataFrame, inference: Inference, settings: Settings) -> DataFrame:
@@ -83,12 +88,13 @@ def detect_and_translate(df: DataFrame, inference: Inference, settings: Settings
 def back_translate(df: DataFrame, inference: Inference, settings: Settings) -> DataFrame:
     """Add ``back_translation``; for English it is the translation itself.
 
-    English rows are never sent: their prompt is NULL, so they take the branch
-    that skips the call and the join. A row without a language has a NULL prompt too
-    and gets no back-translation.
+    English rows are neither sent nor joined. A row without a language or a translation has
+    nothing to send and gets no back-translation. Where the table is partitioned by
+    ``is_english``, both kinds of rows are read once, each from its own files.
     """
-    task = back_translate_task(settings)
-    back = F.when(is_english("detected_language"), F.col("english_translation")).otherwise(
+    english = F.col(IS_ENGLISH) if IS_ENGLISH in df.columns else is_english("detected_language")
+    task = back_translate_task(settings, done=english)
+    back = F.when(english, F.col("english_translation")).otherwise(
         F.col(f"{task.out}.answer")
     )
     return inference.run(df, [task]).select(*df.columns, back.alias("back_translation"))

@@ -81,17 +81,15 @@ def _workflow(spark: SparkSession, settings: Settings = SETTINGS) -> Workflow:
 def _evaluated(
     spark: SparkSession, directory: str, scorers: list[scoring.Scorer]
 ) -> DataFrame:
+    """Verdicts by document; of the records only key and language are kept."""
     records = scoring.evaluation_records(double_translations(spark, directory), SETTINGS)
-    return scoring.evaluate(records, scorers, double_inference(spark))
+    keep = [F.col("inputs.doc_id").alias("doc_id"), F.col(scoring.LANGUAGE).alias("detected_language")]
+    return scoring.evaluate(records, scorers, double_inference(spark), keep)
 
 
 def _routed(spark: SparkSession, directory: str) -> DataFrame:
     scorers = [scoring.semantic_scorer(SETTINGS), scoring.completeness_scorer()]
-    evaluated = _evaluated(spark, directory, scorers)
-    return routing.route(
-        evaluated,
-        [F.col("inputs.doc_id").alias("doc_id"), F.col(scoring.LANGUAGE).alias("detected_language")],
-    )
+    return routing.route(_evaluated(spark, directory, scorers), ["doc_id", "detected_language"])
 
 
 # --- sources, stages and extraction ---------------------------------------
@@ -287,7 +285,7 @@ def evaluation_records(spark: SparkSession, directory: str) -> DataFrame:
 
 def _one_scorer(spark: SparkSession, directory: str, scorer: scoring.Scorer) -> DataFrame:
     evaluated = _evaluated(spark, directory, [scorer])
-    return evaluated.select(F.col("inputs.doc_id").alias("doc_id"), f"{scorer.name}.*")
+    return evaluated.select("doc_id", f"{scorer.name}.*")
 
 
 @query
@@ -335,9 +333,7 @@ def evaluate_all(spark: SparkSession, directory: str) -> DataFrame:
     """All three scorers over all documents in one inference pass, one row per verdict."""
     scorers = scoring.default_scorers(SETTINGS)
     evaluated = _evaluated(spark, directory, scorers)
-    return scoring.tidy_scores(
-        evaluated, [s.name for s in scorers], [F.col("inputs.doc_id").alias("doc_id")]
-    )
+    return scoring.tidy_scores(evaluated, [s.name for s in scorers], ["doc_id"])
 
 
 @query
@@ -367,9 +363,7 @@ def custom_scorers(spark: SparkSession, directory: str) -> DataFrame:
 
     scorers = [not_empty, scoring.python_scorer("ends_alike", ends_alike)]
     evaluated = _evaluated(spark, directory, scorers)
-    return scoring.tidy_scores(
-        evaluated, [s.name for s in scorers], [F.col("inputs.doc_id").alias("doc_id")]
-    )
+    return scoring.tidy_scores(evaluated, [s.name for s in scorers], ["doc_id"])
 
 
 # --- routing --------------------------------------------------------------

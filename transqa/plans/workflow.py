@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from transqa.config import Settings
+from transqa.functions.text import is_english
 from transqa.operators import compare, evalset, observe, routing, scoring, translate
 from transqa.operators.extract import extract_text, with_text
 from transqa.operators.infer import AnswerStore, ClientFactory, Inference
@@ -61,7 +62,8 @@ class Workflow:
         with self.clock.stage("phase_one"):
             kept = with_text(source, self.settings.min_chars).select(key, "extracted_text")
             done = translate.detect_and_translate(kept, self.inference, self.settings)
-            return self.tables.replace(done, PHASE_ONE)
+            done = done.withColumn(translate.IS_ENGLISH, is_english("detected_language"))
+            return self.tables.replace(done, PHASE_ONE, (translate.IS_ENGLISH,))
 
     def phase_two(self) -> DataFrame:
         """Back-translate what phase one wrote."""
@@ -69,17 +71,21 @@ class Workflow:
             done = translate.back_translate(
                 self.tables.read(PHASE_ONE), self.inference, self.settings
             )
-            return self.tables.replace(done, PHASE_TWO)
+            return self.tables.replace(done.drop(translate.IS_ENGLISH), PHASE_TWO)
 
     def evaluate(self, scorers: list[scoring.Scorer] | None = None) -> DataFrame:
         """Score the translations; the result holds keys, language, verdicts and status."""
         chosen = scorers or scoring.default_scorers(self.settings)
         records = scoring.evaluation_records(self.tables.read(PHASE_TWO), self.settings)
         with self.clock.stage("evaluate"):
-            evaluated = scoring.evaluate(records, chosen, self.inference)
-            key = F.col(f"inputs.{self.settings.key}").alias(self.settings.key)
-            language = F.col(scoring.LANGUAGE).alias("detected_language")
-            routed = routing.route(evaluated, [key, language, *[s.name for s in chosen]])
+            keep = [
+                F.col(f"inputs.{self.settings.key}").alias(self.settings.key),
+                F.col(scoring.LANGUAGE).alias("detected_language"),
+            ]
+            evaluated = scoring.evaluate(records, chosen, self.inference, keep)
+            routed = routing.route(
+                evaluated, [self.settings.key, "detected_language", *[s.name for s in chosen]]
+            )
             return self.tables.replace(routed, EVALUATION)
 
     def finalize(self) -> DataFrame:

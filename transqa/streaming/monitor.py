@@ -69,7 +69,7 @@ def score_traces(
 ) -> DataFrame:
     """One row per trace and monitor that samples it.
 
-    A judge is asked only for sampled traces: for others its prompt is NULL.
+    A judge is asked for the sampled traces only.
     """
     scorers, rates = [], {}
     for m in monitors:
@@ -77,9 +77,10 @@ def score_traces(
         tasks = m.scorer.tasks
         if m.sample_rate < 1.0:
             sampled = is_sampled(m.name, "trace_id", m.sample_rate)
-            tasks = tuple(replace(t, prompt=F.when(sampled, t.prompt)) for t in tasks)
-        scorers.append(Scorer(m.name, m.scorer.feedback, tasks))
-    scores = tidy_scores(evaluate(traces, scorers, inference), [m.name for m in monitors], keep)
+            tasks = tuple(t.only(sampled) for t in tasks)
+        scorers.append(replace(m.scorer, name=m.name, tasks=tasks))
+    evaluated = evaluate(traces, scorers, inference, keep)
+    scores = tidy_scores(evaluated, [m.name for m in monitors], keep)
     chosen = F.lit(False)
     for name, rate in rates.items():
         chosen = chosen | ((F.col("scorer") == name) & is_sampled(name, "trace_id", rate))
