@@ -45,8 +45,11 @@ def or_empty(text: Column | str) -> Column:
 
 
 def guarded_ratio(numerator: Column, denominator: Column, floor: float) -> Column:
-    """``numerator / max(denominator, floor)``, which never divides by zero."""
-    return numerator / F.greatest(denominator, F.lit(floor))
+    """``numerator / max(denominator, floor)``, which never divides by zero.
+
+    A missing denominator gives NULL, where ``greatest`` would skip it.
+    """
+    return numerator / F.when(denominator < floor, F.lit(floor)).otherwise(denominator)
 
 
 def round_half_even(value: Column, digits: int) -> Column:

@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
+from functools import reduce
 from typing import Protocol
 
 import pandas as pd
@@ -52,8 +53,8 @@ ClientFactory = Callable[[], ModelClient]
 class Task:
     """One prompt column to be answered into ``out``.
 
-    Rows outside ``when`` and rows whose prompt is NULL are never sent. ``name``
-    becomes the span name, and ``endpoint`` may be a column, so that rows
+    Rows outside ``when``, which must not be NULL, and rows whose prompt is NULL are
+    never sent. ``name`` becomes the span name, and ``endpoint`` may be a column, so that rows
     choose their model.
     """
 
@@ -102,10 +103,15 @@ class AnswerStore:
             self.table, StructType.fromDDL(ANSWERS_SCHEMA), PARTITION_COLUMNS
         )
 
-    def for_tasks(self, names: Sequence[str]) -> DataFrame:
-        return self.open().where(F.col("task").isin(*names))
+    def for_tasks(self, tasks: Sequence[Task]) -> DataFrame:
+        """Answers of the tasks, from their partitions alone."""
+        rows = self.open().where(F.col("task").isin(*{t.name for t in tasks}))
+        endpoints = {t.endpoint for t in tasks if isinstance(t.endpoint, str)}
+        if any(not isinstance(t.endpoint, str) for t in tasks):
+            return rows
+        return rows.where(F.col("endpoint").isin(*endpoints))
 
-    def latest(self, names: Sequence[str]) -> DataFrame:
+    def latest(self, tasks: Sequence[Task]) -> DataFrame:
         """One answer per key: a good one before an error, then the newest.
 
         A retried Spark task may call again for a prompt it had already asked,
@@ -113,7 +119,7 @@ class AnswerStore:
         """
         order = F.struct(F.col("error").isNull().alias("good"), F.col("started_at"))
         return (
-            self.for_tasks(names)
+            self.for_tasks(tasks)
             .groupBy("key")
             .agg(F.max_by(F.struct("answer", "error"), order).alias("reply"))
         )
@@ -184,7 +190,7 @@ class Inference:
         """
         hot = F.when(F.col("copies") >= self.hot_rows, F.struct("copies", "key"))
         prompts = distinct_prompts(df, tasks).observe(seen, F.collect_list(hot).alias("hot"))
-        good = self.store.for_tasks([t.name for t in tasks]).where(F.col("error").isNull())
+        good = self.store.for_tasks(tasks).where(F.col("error").isNull())
         return prompts.drop("copies").join(good.select("key"), "key", "left_anti")
 
     def _spread(self, prompts: DataFrame) -> DataFrame:
@@ -255,7 +261,7 @@ def attach_answers(
     """
     columns = list(df.columns if carry is None else carry)
     outs = [t.out for t in tasks]
-    answers = store.latest([t.name for t in tasks])
+    answers = store.latest(tasks)
     conditions = [t.when for t in tasks]
     split = all(c is not None for c in conditions)
     asked = df.where(_either(conditions)) if split else df
@@ -291,7 +297,7 @@ def _gather(sets: DataFrame, answers: DataFrame, outs: Sequence[str], hot: HotKe
     """Answers of each distinct set of keys, side by side."""
     members = (
         sets.distinct()
-        .select("_set", "_hot", F.posexplode("_keys").alias("slot", "key"))
+        .select("_set", "_hot", F.posexplode_outer("_keys").alias("slot", "key"))
         .where(F.col("key").isNotNull())
     )
     found = spread_left_join(
@@ -312,10 +318,7 @@ def _all_hot(keys: Column, hot: HotKeys) -> Column:
 
 
 def _either(conditions: Sequence[Column]) -> Column:
-    result = F.coalesce(conditions[0], F.lit(False))
-    for condition in conditions[1:]:
-        result = result | F.coalesce(condition, F.lit(False))
-    return result
+    return reduce(lambda a, b: a | b, conditions)
 
 
 def _caller(factory: ClientFactory, threads: int) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:

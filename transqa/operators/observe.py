@@ -31,7 +31,7 @@ def call_spans(
     measures = ("started_at", "duration_ms", "in_chars", "out_chars", "error", "endpoint")
     order = F.struct(F.col("error").isNull().alias("good"), F.col("started_at"))
     latest = (
-        store.for_tasks([t.name for t in tasks])
+        store.for_tasks(tasks)
         .groupBy("key")
         .agg(F.max_by(F.struct(*measures), order).alias("m"))
     )

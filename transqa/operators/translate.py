@@ -18,7 +18,7 @@ from transqa.operators.infer import Inference, Task
 DETECT = "detect_language"
 TRANSLATE = "translate_to_english"
 BACK_TRANSLATE = "back_translate"
-IS_ENGLISH = "is_english"
+NEEDS_BACK = "needs_back_translation"
 
 
 def detect_task(settings: Settings, text: str = "extracted_text") -> Task:
@@ -41,17 +41,22 @@ def translate_task(
     return Task(TRANSLATE, chosen, prompt, "_translated", when)
 
 
+def needs_back_translation(
+    english: str = "english_translation", lang: str = "detected_language"
+) -> Column:
+    """Whether there is something to send back: never NULL."""
+    return ~is_english(lang) & F.col(lang).isNotNull() & F.col(english).isNotNull()
+
+
 def back_translate_task(
     settings: Settings,
     english: str = "english_translation",
     lang: str = "detected_language",
-    done: Column | None = None,
+    when: Column | None = None,
 ) -> Task:
-    """``done`` marks rows already in English; a partition column lets scans prune."""
     prompt = render(BACK_TRANSLATE_PROMPT, text=english, lang=lang)
-    ready = F.col(lang).isNotNull() & F.col(english).isNotNull()
-    when = ~(is_english(lang) if done is None else done) & ready
-    return Task(BACK_TRANSLATE, settings.endpoints.translate, prompt, "_back", when)
+    needed = needs_back_translation(english, lang) if when is None else when
+    return Task(BACK_TRANSLATE, settings.endpoints.translate, prompt, "_back", needed)
 
 
 def detect(df: DataFrame, inference: Inference, settings: Settings) -> DataFrame:
@@ -90,11 +95,11 @@ def back_translate(df: DataFrame, inference: Inference, settings: Settings) -> D
 
     English rows are neither sent nor joined. A row without a language or a translation has
     nothing to send and gets no back-translation. Where the table is partitioned by
-    ``is_english``, both kinds of rows are read once, each from its own files.
+    ``needs_back_translation``, both kinds of rows are read once, each from its own files.
     """
-    english = F.col(IS_ENGLISH) if IS_ENGLISH in df.columns else is_english("detected_language")
-    task = back_translate_task(settings, done=english)
-    back = F.when(english, F.col("english_translation")).otherwise(
+    needed = F.col(NEEDS_BACK) if NEEDS_BACK in df.columns else None
+    task = back_translate_task(settings, when=needed)
+    back = F.when(is_english("detected_language"), F.col("english_translation")).otherwise(
         F.col(f"{task.out}.answer")
     )
     return inference.run(df, [task]).select(*df.columns, back.alias("back_translation"))

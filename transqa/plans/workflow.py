@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from transqa.config import Settings
-from transqa.functions.text import is_english
 from transqa.operators import compare, evalset, observe, routing, scoring, translate
 from transqa.operators.extract import extract_text, with_text
 from transqa.operators.infer import AnswerStore, ClientFactory, Inference
@@ -62,8 +61,8 @@ class Workflow:
         with self.clock.stage("phase_one"):
             kept = with_text(source, self.settings.min_chars).select(key, "extracted_text")
             done = translate.detect_and_translate(kept, self.inference, self.settings)
-            done = done.withColumn(translate.IS_ENGLISH, is_english("detected_language"))
-            return self.tables.replace(done, PHASE_ONE, (translate.IS_ENGLISH,))
+            done = done.withColumn(translate.NEEDS_BACK, translate.needs_back_translation())
+            return self.tables.replace(done, PHASE_ONE, (translate.NEEDS_BACK,))
 
     def phase_two(self) -> DataFrame:
         """Back-translate what phase one wrote."""
@@ -71,7 +70,7 @@ class Workflow:
             done = translate.back_translate(
                 self.tables.read(PHASE_ONE), self.inference, self.settings
             )
-            return self.tables.replace(done.drop(translate.IS_ENGLISH), PHASE_TWO)
+            return self.tables.replace(done.drop(translate.NEEDS_BACK), PHASE_TWO)
 
     def evaluate(self, scorers: list[scoring.Scorer] | None = None) -> DataFrame:
         """Score the translations; the result holds keys, language, verdicts and status."""
@@ -116,7 +115,8 @@ class Workflow:
             compare.translate_by_endpoint(sample, inference, self.settings),
             "comparison_translations",
         )
-        spans = inference.store.for_tasks([translate.TRANSLATE])
+        asked = translate.translate_task(self.settings, endpoint=F.col("endpoint"))
+        spans = inference.store.for_tasks([asked])
         report = compare.throughput(
             compare.token_usage(translated), compare.endpoint_durations(spans)
         )
