@@ -101,9 +101,7 @@ def test_stage_is_rebuilt_from_itself_and_old_versions_go(spark, tables):
 
 
 def test_dataset_table_is_made_once(spark, tables):
-    from pyspark.sql.types import StructType
-
-    schema = StructType.fromDDL("a string, b int")
+    schema = "a string, b int"
     assert tables.create_or_load("t", schema).count() == 0
     tables.append(spark.createDataFrame([("x", 1)], schema), "t")
     assert tables.create_or_load("t", schema).count() == 1

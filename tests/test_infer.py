@@ -1,3 +1,6 @@
+from dataclasses import replace
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +157,19 @@ def test_repeated_answers_do_not_repeat_rows(spark, counting, inference):
     run.store.append(run.store.open().where("answer = 'e:say a'"))
     assert run.store.open().count() == 3
     assert answers(run.run(df, [shout()])) == ["e:say a", "e:say b"]
+
+
+def test_old_answers_can_be_left_out(spark, counting, inference):
+    calls = counting()
+    run = inference(calls)
+    df = docs(spark, ["a"])
+    old = run.store.open().schema
+    key = df.select(shout().key).first()[0]
+    long_ago = datetime(2020, 1, 1)
+    row = (key, "old", long_ago, 1, 5, 3, None, "shout", "e", long_ago.date())
+    run.store.append(spark.createDataFrame([row], old))
+    assert answers(run.run(df, [shout()])) == ["old"] and not calls.prompts
+    recent = replace(run, store=replace(run.store, reuse_days=7))
+    assert answers(recent.run(df, [shout()])) == ["e:say a"] and len(calls.prompts) == 1
+    plan = recent.store.for_tasks([shout()])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -45,7 +45,7 @@ def test_judges_are_asked_for_sampled_traces_only(spark, counting, inference):
     calls = counting(lambda e, p: '{"passed": true, "rationale": "ok"}')
     rows = [trace(str(i), 1, 0, f"t{i}") for i in range(40)]
     traces = spark.createDataFrame(rows, TRACE)
-    guided = scoring.guidelines_scorer(SETTINGS, joint=True)
+    guided = scoring.guidelines_scorer(SETTINGS)
     monitors = [monitor.Monitor("half", guided, 0.5), monitor.Monitor("all", scoring.completeness_scorer())]
     scores = monitor.score_traces(traces, monitors, inference(calls)).collect()
     sampled = [r["trace_id"] for r in scores if r["monitor"] == "half"]

@@ -82,7 +82,7 @@ def rules(endpoint, prompt):
 
 def test_guidelines_need_all_rules(spark, counting, inference):
     calls = counting(rules)
-    scorer = scoring.guidelines_scorer(SETTINGS, "rules", ["one", "two", "three"])
+    scorer = scoring.guidelines_scorer(SETTINGS, "rules", ["one", "two", "three"], per_rule=True)
     rows = [("text", "fr", "fine", ""), ("text", "en", "one two", ""), ("failing", "fr", "x", ""), ("t", "fr", None, "")]
     got = verdicts(scoring.evaluate(records(spark, rows), [scorer], inference(calls)), "rules")
     assert got == [
@@ -94,7 +94,7 @@ def test_guidelines_need_all_rules(spark, counting, inference):
 
 def test_joint_guidelines_are_one_call(spark, counting, inference):
     calls = counting(lambda e, p: '{"passed": true, "rationale": "ok"}')
-    scorer = scoring.guidelines_scorer(SETTINGS, joint=True)
+    scorer = scoring.guidelines_scorer(SETTINGS)
     evaluated = scoring.evaluate(records(spark, [("a", "fr", "b", "c")]), [scorer], inference(calls))
     assert verdicts(evaluated, scorer.name)[0][0] is True
     (_, prompt), = calls.prompts

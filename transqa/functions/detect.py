@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from transqa.functions.text import col, prefix
+from transqa.functions.text import bind, col, prefix
 
 # The commonest function words of each language, from the public
 # Snowball stop-word lists.
@@ -56,7 +56,16 @@ def detect_language(
     The profile is a literal inside the expression, so there is no join, no
     explode and no shuffle: detection runs in the scan stage at any size.
     """
-    tokens = words(prefix(text, chars))
+    best = bind(words(prefix(text, chars)), lambda tokens: _best(tokens, profiles))
+    return (
+        F.when(col(text).isNull(), F.lit(None).cast("string"))
+        .when(best["hits"] > 0, best["code"])
+        .otherwise(F.lit(UNDETERMINED))
+    )
+
+
+def _best(tokens: Column, profiles: Mapping[str, tuple[str, ...]]) -> Column:
+    """The profile with most hits; the order breaks ties."""
     ranked = [
         F.struct(
             F.size(_among(tokens, profiles[code])).alias("hits"),
@@ -65,12 +74,7 @@ def detect_language(
         )
         for rank, code in enumerate(sorted(profiles))
     ]
-    best = F.array_max(F.array(*ranked))
-    return (
-        F.when(col(text).isNull(), F.lit(None).cast("string"))
-        .when(best["hits"] > 0, best["code"])
-        .otherwise(F.lit(UNDETERMINED))
-    )
+    return F.array_max(F.array(*ranked))
 
 
 def _among(tokens: Column, chosen: tuple[str, ...]) -> Column:

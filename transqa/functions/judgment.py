@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from transqa.config import NO_RATIONALE
-from transqa.functions.text import col, strip_code_fence
+from transqa.functions.text import bind, col, strip_code_fence
 
 FEEDBACK_TYPE = "struct<value:boolean,rationale:string,error:string>"
 BAD_JSON = "judge_json"
@@ -31,14 +31,16 @@ def parse_judgment(reply: Column | str) -> Column:
     A missing ``passed`` fails the document; only JSON ``true`` passes it. A reply
     that is no JSON object has no verdict and says so in ``error``.
     """
-    parsed = F.try_parse_json(strip_code_fence(reply))
+    verdict = bind(F.try_parse_json(strip_code_fence(reply)), _read_verdict)
+    return F.when(col(reply).isNull(), feedback(None, None, NULL_INPUT)).otherwise(verdict)
+
+
+def _read_verdict(parsed: Column) -> Column:
     is_object = F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT"))
     passed = F.try_variant_get(parsed, "$.passed", "string")
     passed_type = F.schema_of_variant(F.try_variant_get(parsed, "$.passed", "variant"))
     value = F.coalesce((passed == "true") & (passed_type == "BOOLEAN"), F.lit(False))
     rationale = F.coalesce(F.try_variant_get(parsed, "$.rationale", "string"), F.lit(NO_RATIONALE))
-    return (
-        F.when(col(reply).isNull(), feedback(None, None, NULL_INPUT))
-        .when(F.coalesce(is_object, F.lit(False)), feedback(value, rationale))
-        .otherwise(feedback(None, None, BAD_JSON))
+    return F.when(F.coalesce(is_object, F.lit(False)), feedback(value, rationale)).otherwise(
+        feedback(None, None, BAD_JSON)
     )

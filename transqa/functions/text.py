@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +23,15 @@ def col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    Higher-order functions do not share common subexpressions; a lambda's variable
+    does the sharing.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def file_name(path: Column | str) -> Column:
     """Last segment of a path; '' when the path ends in a slash."""
     return F.regexp_extract(col(path), FILE_NAME_PATTERN, 1)

@@ -26,7 +26,6 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from transqa.operators.joins import any_of, spread_left_join
 from transqa.sources.tables import StageTables
@@ -34,9 +33,9 @@ from transqa.sources.tables import StageTables
 ANSWER_TYPE = "struct<answer:string,error:string>"
 ANSWERS_SCHEMA = (
     "key string, answer string, started_at timestamp, duration_ms bigint, "
-    "in_chars int, out_chars int, error string, task string, endpoint string"
+    "in_chars int, out_chars int, error string, task string, endpoint string, day date"
 )
-PARTITION_COLUMNS = ("task", "endpoint")
+PARTITION_COLUMNS = ("task", "endpoint", "day")
 CHUNK = 64
 
 
@@ -93,15 +92,22 @@ class HotKeys:
 
 @dataclass(frozen=True)
 class AnswerStore:
-    """The answers table, partitioned by task and endpoint."""
+    """The answers table, partitioned by task, endpoint and day of the call.
+
+    ``reuse_days`` looks for answers in the newest days only. A stream needs that, or
+    each of its batches would read the digests of all answers ever given; an older
+    prompt is then asked anew.
+    """
 
     tables: StageTables
     table: str = "answers"
+    reuse_days: int | None = None
 
     def open(self) -> DataFrame:
-        return self.tables.create_or_load(
-            self.table, StructType.fromDDL(ANSWERS_SCHEMA), PARTITION_COLUMNS
-        )
+        answers = self.tables.create_or_load(self.table, ANSWERS_SCHEMA, PARTITION_COLUMNS)
+        if self.reuse_days is None:
+            return answers
+        return answers.where(F.col("day") >= F.date_sub(F.current_date(), self.reuse_days))
 
     def for_tasks(self, tasks: Sequence[Task]) -> DataFrame:
         """Answers of the tasks, from their partitions alone."""
@@ -337,6 +343,7 @@ def _caller(factory: ClientFactory, threads: int) -> Callable[[Iterable[pd.DataF
             return (
                 row.key, answer, started, took, len(row.prompt),
                 None if answer is None else len(answer), error, row.task, row.endpoint,
+                started.date(),
             )
 
         names = [field.strip().split(" ")[0] for field in ANSWERS_SCHEMA.split(",")]

@@ -122,15 +122,15 @@ def guidelines_scorer(
     settings: Settings,
     name: str = GUIDELINES,
     guidelines: Sequence[str] | None = None,
-    joint: bool = False,
+    per_rule: bool = False,
 ) -> Scorer:
     """A judge checks a translation against rules; it must keep all of them.
 
-    Each rule is a call of its own and the rationale tells the broken ones.
-    ``joint`` puts all rules into one call, at a quarter of the price for four.
+    All rules go into one call. With ``per_rule`` each is a call of its own, and the
+    rationale tells the broken ones: as many calls and copies of the texts as rules.
     """
     rules = list(settings.guidelines if guidelines is None else guidelines)
-    if joint:
+    if not per_rule:
         rules = ["\n".join(rules)]
     tasks = tuple(
         Task(

@@ -124,11 +124,23 @@ semantic AS (
   FROM {source})"""
 
 
-def _guidelines(source: str, key: str = "doc_id") -> str:
-    chars = ", ".join(str(len(rule)) for rule in TRANSLATION_GUIDELINES)
+def _guidelines(source: str) -> str:
+    """All rules in one call, of as many characters as the joined rules have."""
+    rule = len("\n".join(TRANSLATION_GUIDELINES))
+    kept = f"({rule} + length(original)) % 11 <> 0"
     return f"""
 guided AS (
-  SELECT {key}, coalesce(bool_and((rule + length(original)) % 11 <> 0), true) AS value,
+  SELECT *, {kept} AS value,
+    CASE WHEN {kept} THEN 'All guidelines are met.' ELSE 'rule of {rule}' END AS rationale,
+    CAST(NULL AS VARCHAR) AS error
+  FROM {source})"""
+
+
+def _rule_by_rule(source: str) -> str:
+    chars = ", ".join(str(len(rule)) for rule in TRANSLATION_GUIDELINES)
+    return f"""
+ruled AS (
+  SELECT doc_id, coalesce(bool_and((rule + length(original)) % 11 <> 0), true) AS value,
     coalesce(
       string_agg(CASE WHEN (rule + length(original)) % 11 = 0 THEN 'rule of ' || rule END, '; '
                  ORDER BY number),
@@ -136,7 +148,7 @@ guided AS (
     CAST(NULL AS VARCHAR) AS error
   FROM {source},
        (SELECT unnest([{chars}]) AS rule, unnest(range({len(TRANSLATION_GUIDELINES)})) AS number)
-  GROUP BY {key})"""
+  GROUP BY doc_id)"""
 
 
 _SCORED = f"WITH {_DOUBLE}, {_semantic('ev')}, {_completeness('ev')}, {_guidelines('ev')}"
@@ -333,7 +345,9 @@ SELECT doc_id, detected_language, md5(original) AS original_md5, md5(english) AS
        md5(back) AS back_md5 FROM ev""",
     "completeness": f"WITH {_DOUBLE}, {_completeness('ev')} SELECT * FROM complete",
     "semantic_preservation": f"WITH {_DOUBLE}, {_semantic('ev')} SELECT * FROM semantic",
-    "translation_guidelines": f"WITH {_DOUBLE}, {_guidelines('ev')} SELECT * FROM guided",
+    "translation_guidelines": f"""
+WITH {_DOUBLE}, {_guidelines('ev')} SELECT doc_id, value, rationale, error FROM guided""",
+    "guidelines_per_rule": f"WITH {_DOUBLE}, {_rule_by_rule('ev')} SELECT * FROM ruled",
     "judge_replies": """
 SELECT doc_id,
   CASE WHEN doc_id % 10 IN (2, 4, 8) THEN NULL
@@ -390,7 +404,7 @@ GROUP BY metric""",
     "endpoint_quality": f"""{_COMPARED}, cut AS (
   SELECT endpoint, doc_id, 'unknown' AS detected_language, left(text, 3000) AS original,
          left(coalesce(english, ''), 3000) AS english FROM pairs),
-{_guidelines('cut', 'endpoint, doc_id')},
+{_guidelines('cut')},
 scores AS (
   SELECT endpoint, 'completeness_check' AS scorer, {_RATIO} >= 0.3 AS value, NULL AS error FROM cut
   UNION ALL SELECT endpoint, 'translation_quality', value, NULL FROM guided)

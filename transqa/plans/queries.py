@@ -303,6 +303,12 @@ def translation_guidelines(spark: SparkSession, directory: str) -> DataFrame:
     return _one_scorer(spark, directory, scoring.guidelines_scorer(SETTINGS))
 
 
+@query
+def guidelines_per_rule(spark: SparkSession, directory: str) -> DataFrame:
+    """The same with a call for each rule."""
+    return _one_scorer(spark, directory, scoring.guidelines_scorer(SETTINGS, per_rule=True))
+
+
 @query
 def judge_replies(spark: SparkSession, directory: str) -> DataFrame:
     """Judge replies in every form, good and bad, read into verdicts."""

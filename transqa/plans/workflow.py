@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from transqa.config import Settings
 from transqa.operators import compare, evalset, observe, routing, scoring, translate
@@ -137,7 +136,7 @@ class Workflow:
         rows = observe.run_rows(
             self.tables.spark, self.run_id, name, params, self.clock.metrics(baseline_s)
         )
-        self.tables.create_or_load(RUNS, StructType.fromDDL(observe.RUNS_SCHEMA))
+        self.tables.create_or_load(RUNS, observe.RUNS_SCHEMA)
         self.tables.append(rows, RUNS)
         return self.tables.read(RUNS)
 

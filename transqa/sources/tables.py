@@ -13,7 +13,6 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -88,11 +87,13 @@ class StageTables:
     def append(self, df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> None:
         self._write(df, table, "append", partition_by)
 
-    def create_or_load(self, table: str, schema: T.StructType,
+    def create_or_load(self, table: str, columns: str,
                        partition_by: tuple[str, ...] = ()) -> DataFrame:
-        """Read a table, making it empty with a declared schema when it is missing."""
-        if not self.exists(table):
-            self._write(self.spark.createDataFrame([], schema), table, "append", partition_by)
+        """Read a table, making it empty with declared columns when it is missing."""
+        parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet{parts}"
+        )
         return self.read(table)
 
     def drop_old_versions(self, table: str, keep: str) -> None:

@@ -101,13 +101,16 @@ def start_monitoring(
 
     Each micro-batch is written before it is scored, so the stateful part of
     the stream runs once and scoring works on a table. A batch that is replayed
-    overwrites its own folder, and its answers are already stored.
+    overwrites its own folder, and its answers are already stored. Give the inference
+    a store with ``reuse_days``, so that a batch does not search all past answers.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         place = f"{path}/traces/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(place)
         stored = batch.sparkSession.read.schema(batch.schema).parquet(place)
+        if stored.isEmpty():
+            return
         scores = score_traces(stored, monitors, inference)
         scores.write.mode("overwrite").parquet(f"{path}/scores/batch_id={batch_id}")
 
