@@ -41,6 +41,13 @@ def test_default_monitors(spark):
     ]
 
 
+def test_registering_again_replaces_a_monitor(spark, tables):
+    short = scoring.completeness_scorer()
+    monitor.register_monitors(tables, [monitor.Monitor("a", short), monitor.Monitor("b", short, 0.5)])
+    rows = monitor.register_monitors(tables, [monitor.Monitor("b", short, 0.1)]).collect()
+    assert sorted((r["name"], r["sample_rate"]) for r in rows) == [("a", 1.0), ("b", 0.1)]
+
+
 def test_judges_are_asked_for_sampled_traces_only(spark, counting, inference):
     calls = counting(lambda e, p: '{"passed": true, "rationale": "ok"}')
     rows = [trace(str(i), 1, 0, f"t{i}") for i in range(40)]

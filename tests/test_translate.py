@@ -103,7 +103,8 @@ def test_min_chars(spark, tables, min_chars, kept):
 
 def test_whole_workflow_from_parsed_documents(spark, tables):
     parsed = docs(spark).where("extracted_text is not null").select(
-        F.concat(F.lit("/in/"), "doc_id", F.lit(".pdf")).alias("source_path"),
+        # All files are named alike and told apart by their folders.
+        F.concat(F.lit("/in/"), "doc_id", F.lit("/same.pdf")).alias("source_path"),
         F.to_variant_object(
             F.struct(F.struct(F.array(F.struct(
                 F.lit("text").alias("type"), F.col("extracted_text").alias("content")
@@ -114,10 +115,11 @@ def test_whole_workflow_from_parsed_documents(spark, tables):
     flow.parse(parsed)
     final = flow.run()
     assert final.columns == [
-        "file_name", "extracted_text", "detected_language", "english_translation", "back_translation",
-        "status", "semantic_preservation_rationale", "completeness_rationale",
+        "source_path", "file_name", "extracted_text", "detected_language", "english_translation",
+        "back_translation", "status", "semantic_preservation_rationale", "completeness_rationale",
     ]
     assert final.count() == 5
+    assert {r["file_name"] for r in final.select("file_name").collect()} == {"same.pdf"}
     assert flow.grow_dataset().count() == 5
     assert flow.grow_dataset().count() == 5
     report = flow.compare(count=2).collect()

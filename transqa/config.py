@@ -6,6 +6,7 @@ Everything here is a value, not code, so a run can replace any of it through
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
@@ -94,11 +95,15 @@ class Prefixes:
 
 @dataclass(frozen=True)
 class Settings:
-    """One run's configuration, passed to the plans."""
+    """One run's configuration, passed to the plans.
+
+    ``key`` identifies a document. A file name does not: two folders may hold the
+    same one. It is carried along as ``file_name`` where a table has it.
+    """
 
     endpoints: Endpoints = field(default_factory=Endpoints)
     prefixes: Prefixes = field(default_factory=Prefixes)
-    key: str = "file_name"
+    key: str = "source_path"
     skip_english: bool = False
     name_source_language: bool = False
     min_chars: int = 0
@@ -107,3 +112,7 @@ class Settings:
     call_rounds: int = 1
     pipeline_version: str = "v2"
     guidelines: tuple[str, ...] = TRANSLATION_GUIDELINES
+
+    def identity(self, columns: Sequence[str]) -> list[str]:
+        """The columns that name a document, of those a table has."""
+        return [self.key, *[c for c in ("file_name",) if c in columns and c != self.key]]

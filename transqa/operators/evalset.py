@@ -20,7 +20,7 @@ def evaluation_cases(translations: DataFrame, settings: Settings) -> DataFrame:
         F.struct(
             prefix("extracted_text", settings.prefixes.dataset).alias("original_text"),
             F.col("detected_language"),
-            F.col(settings.key),
+            *settings.identity(translations.columns),
         ).alias("inputs"),
         F.struct(
             F.col("detected_language").alias("expected_language"),

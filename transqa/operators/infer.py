@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from transqa.functions.text import col
 from transqa.operators.joins import any_of, spread_left_join
 from transqa.sources.tables import StageTables
 
@@ -70,8 +71,7 @@ class Task:
     @property
     def key(self) -> Column:
         """Digest that names the call: NULL when there is nothing to ask."""
-        call = F.concat(F.lit(f"{self.name}|"), self.endpoint_column, F.lit("|"), self.prompt)
-        digest = F.sha2(call, 256)
+        digest = call_key(F.lit(self.name), self.endpoint_column, self.prompt)
         return digest if self.when is None else F.when(self.when, digest)
 
     def only(self, condition: Column) -> Task:
@@ -79,6 +79,11 @@ class Task:
         return replace(self, when=condition if self.when is None else self.when & condition)
 
 
+def call_key(task: Column | str, endpoint: Column | str, prompt: Column | str) -> Column:
+    """Digest of a call; NULL when its prompt is."""
+    return F.sha2(F.concat(col(task), F.lit("|"), col(endpoint), F.lit("|"), col(prompt)), 256)
+
+
 @dataclass(frozen=True)
 class HotKeys:
     """Calls that very many rows share; ``salts`` is how far each is spread."""
@@ -231,20 +236,28 @@ def distinct_prompts(df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
     Duplicates are dropped by digest before and after the shuffle, so
     a prompt shared by a third of all rows travels once per input partition.
     """
-    asked = [
-        F.struct(
-            t.key.alias("key"),
-            F.lit(t.name).alias("task"),
-            t.endpoint_column.alias("endpoint"),
-            t.prompt.alias("prompt"),
-        )
-        for t in tasks
-    ]
+    # A prompt is built once per row: its digest is taken from the finished column.
+    prompts = [t.prompt if t.when is None else F.when(t.when, t.prompt) for t in tasks]
     conditions = [t.when for t in tasks]
     if all(c is not None for c in conditions):
         df = df.where(_either(conditions))
-    each = asked[0] if len(asked) == 1 else F.explode(F.array(*asked))
-    rows = df.select(each.alias("p")).select("p.*").where(F.col("key").isNotNull())
+    if len(tasks) == 1:
+        rows = df.select(
+            F.lit(tasks[0].name).alias("task"),
+            tasks[0].endpoint_column.alias("endpoint"),
+            prompts[0].alias("prompt"),
+        )
+    else:
+        asked = [
+            F.struct(
+                F.lit(t.name).alias("task"), t.endpoint_column.alias("endpoint"), p.alias("prompt")
+            )
+            for t, p in zip(tasks, prompts)
+        ]
+        rows = df.select(F.explode(F.array(*asked)).alias("p")).select("p.*")
+    rows = rows.where(F.col("prompt").isNotNull()).select(
+        call_key("task", "endpoint", "prompt").alias("key"), "task", "endpoint", "prompt"
+    )
     return rows.groupBy("key").agg(
         *[F.first(c).alias(c) for c in ("task", "endpoint", "prompt")],
         F.count("*").alias("copies"),

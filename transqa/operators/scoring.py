@@ -168,7 +168,7 @@ def evaluation_records(
         F.struct(
             prefix("extracted_text", chars).alias("original_text"),
             F.col("detected_language"),
-            F.col(settings.key),
+            *settings.identity(df.columns),
         ).alias("inputs"),
         F.struct(
             prefix("english_translation", chars).alias("english_translation"),

@@ -321,6 +321,9 @@ SELECT doc_id, detected_language,
        END AS back_translation
 FROM one""",
     "translate_first_documents": f"WITH {_PHASE_ONE} {_TRANSLATED} ORDER BY doc_id LIMIT 5",
+    "translate_one_document": f"""
+SELECT doc_id, text AS extracted_text, {_double_translate("text", 8)} AS english_translation
+FROM documents ORDER BY doc_id LIMIT 1""",
     "model_calls": f"""
 WITH {_PHASE_ONE}, texts AS (
   SELECT DISTINCT text, english, back, detected_language FROM two),

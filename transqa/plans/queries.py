@@ -22,9 +22,9 @@ from transqa.functions.judgment import parse_judgment
 from transqa.operators import compare, evalset, observe, routing, scoring, translate
 from transqa.operators.extract import extract_text, parse_html, with_text
 from transqa.operators.infer import AnswerStore, Inference
-from transqa.plans.workflow import Workflow
+from transqa.plans.workflow import PARSED, PHASE_TWO, Workflow
 from transqa.sources.files import scan_files, table_as_files, write_text_files
-from transqa.sources.tables import StageTables, preview, shared_root
+from transqa.sources.tables import StageTables, preview, shared_root, spread
 from transqa.streaming import monitor
 from transqa.streaming.source import stream_table
 
@@ -74,6 +74,16 @@ def double_inference(spark: SparkSession) -> Inference:
     return Inference(DoubleClient, AnswerStore(StageTables.scratch(spark)))
 
 
+def staged_documents(spark: SparkSession, directory: str, tables: StageTables) -> DataFrame:
+    """Documents written as the stage that extraction leaves."""
+    return tables.replace(spread(documents(spark, directory)), PARSED)
+
+
+def staged_translations(spark: SparkSession, directory: str, tables: StageTables) -> DataFrame:
+    """Made translations written as the stage that phase two leaves."""
+    return tables.replace(spread(double_translations(spark, directory)), PHASE_TWO)
+
+
 def _workflow(spark: SparkSession, settings: Settings = SETTINGS) -> Workflow:
     return Workflow(StageTables.scratch(spark), DoubleClient, settings)
 
@@ -82,9 +92,11 @@ def _evaluated(
     spark: SparkSession, directory: str, scorers: list[scoring.Scorer]
 ) -> DataFrame:
     """Verdicts by document; of the records only key and language are kept."""
-    records = scoring.evaluation_records(double_translations(spark, directory), SETTINGS)
+    inference = double_inference(spark)
+    translations = staged_translations(spark, directory, inference.store.tables)
+    records = scoring.evaluation_records(translations, SETTINGS)
     keep = [F.col("inputs.doc_id").alias("doc_id"), F.col(scoring.LANGUAGE).alias("detected_language")]
-    return scoring.evaluate(records, scorers, double_inference(spark), keep)
+    return scoring.evaluate(records, scorers, inference, keep)
 
 
 def _routed(spark: SparkSession, directory: str) -> DataFrame:
@@ -109,7 +121,7 @@ def file_scan(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def parse_pages(spark: SparkSession, directory: str) -> DataFrame:
     """Pages parsed to typed elements and then to text, file name and page count."""
-    files = table_as_files(table(spark, directory, "pages"), "url", "html")
+    files = table_as_files(spread(table(spark, directory, "pages")), "url", "html")
     return extract_text(parse_html(files)).select(
         "source_path", "file_name", "extracted_text", "num_pages"
     )
@@ -192,7 +204,7 @@ def first_documents(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def detect_languages(spark: SparkSession, directory: str) -> DataFrame:
     """Model-free language of every document."""
-    return documents(spark, directory).select(
+    return spread(documents(spark, directory)).select(
         "doc_id", detect_language("extracted_text", SETTINGS.prefixes.detect).alias("detected_language")
     )
 
@@ -202,7 +214,7 @@ def translation_worklist(spark: SparkSession, directory: str) -> DataFrame:
     """Documents, distinct texts and tokens to translate, per detected language."""
     # One row per distinct text, its copies counted on the map side first.
     texts = (
-        documents(spark, directory)
+        spread(documents(spark, directory))
         .withColumn("text_id", F.md5("extracted_text"))
         .select(
             "text_id",
@@ -224,7 +236,7 @@ def translation_worklist(spark: SparkSession, directory: str) -> DataFrame:
 def translate_two_phases(spark: SparkSession, directory: str) -> DataFrame:
     """Detection and translation in one materialised phase, back-translation in the next."""
     flow = _workflow(spark)
-    flow.phase_one(documents(spark, directory))
+    flow.phase_one(staged_documents(spark, directory, flow.tables))
     return flow.phase_two().select(
         "doc_id", "detected_language", "english_translation", "back_translation"
     )
@@ -234,7 +246,7 @@ def translate_two_phases(spark: SparkSession, directory: str) -> DataFrame:
 def translate_skip_english(spark: SparkSession, directory: str) -> DataFrame:
     """The same with English left alone and the source language named in the prompt."""
     flow = _workflow(spark, replace(SETTINGS, skip_english=True, name_source_language=True))
-    flow.phase_one(documents(spark, directory))
+    flow.phase_one(staged_documents(spark, directory, flow.tables))
     return flow.phase_two().select(
         "doc_id", "detected_language", "english_translation", "back_translation"
     )
@@ -249,11 +261,18 @@ def translate_first_documents(spark: SparkSession, directory: str) -> DataFrame:
     return done.select("doc_id", "detected_language", "english_translation", "back_translation")
 
 
+@query
+def translate_one_document(spark: SparkSession, directory: str) -> DataFrame:
+    """The first document with text, translated on its own."""
+    first = routing.first_documents(with_text(documents(spark, directory)), "doc_id", 1)
+    return translate.translate(first, double_inference(spark), SETTINGS)
+
+
 @query
 def model_calls(spark: SparkSession, directory: str) -> DataFrame:
     """What was sent for a whole run: calls, errors and characters per task and endpoint."""
     flow = _workflow(spark)
-    flow.phase_one(documents(spark, directory))
+    flow.phase_one(staged_documents(spark, directory, flow.tables))
     flow.phase_two()
     return (
         flow.tables.read(flow.answers)
@@ -403,7 +422,7 @@ def review_queue(spark: SparkSession, directory: str) -> DataFrame:
 def final_results(spark: SparkSession, directory: str) -> DataFrame:
     """From documents to the final table: two phases, evaluation, routing, join by key."""
     flow = _workflow(spark)
-    flow.phase_one(documents(spark, directory))
+    flow.phase_one(staged_documents(spark, directory, flow.tables))
     flow.phase_two()
     flow.evaluate([scoring.semantic_scorer(SETTINGS), scoring.completeness_scorer()])
     return flow.finalize().select(
@@ -422,8 +441,9 @@ def comparison_sample(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, directory: str) -> tuple[DataFrame, Inference]:
-    sample = compare.sample_documents(documents(spark, directory), SETTINGS, None)
     inference = double_inference(spark)
+    staged = staged_documents(spark, directory, inference.store.tables)
+    sample = compare.sample_documents(staged, SETTINGS, None)
     translated = compare.translate_by_endpoint(sample, inference, SETTINGS)
     return inference.store.tables.replace(translated, "comparison_translations"), inference
 
@@ -530,7 +550,7 @@ def evalset_check(spark: SparkSession, directory: str) -> DataFrame:
 def call_spans(spark: SparkSession, directory: str) -> DataFrame:
     """A span per document and call of phase one, with metadata."""
     inference = double_inference(spark)
-    docs = documents(spark, directory)
+    docs = staged_documents(spark, directory, inference.store.tables)
     tasks = [translate.detect_task(SETTINGS), translate.translate_task(SETTINGS)]
     inference.answer(docs, tasks)
     spans = observe.call_spans(docs, tasks, inference.store, "doc_id", SETTINGS.pipeline_version)

@@ -55,10 +55,10 @@ class Workflow:
 
     def phase_one(self, documents: DataFrame | None = None) -> DataFrame:
         """Detect and translate every document."""
-        key = self.settings.key
         source = self.tables.read(PARSED) if documents is None else documents
         with self.clock.stage("phase_one"):
-            kept = with_text(source, self.settings.min_chars).select(key, "extracted_text")
+            names = self.settings.identity(source.columns)
+            kept = with_text(source, self.settings.min_chars).select(*names, "extracted_text")
             done = translate.detect_and_translate(kept, self.inference, self.settings)
             done = done.withColumn(translate.NEEDS_BACK, translate.needs_back_translation())
             return self.tables.replace(done, PHASE_ONE, (translate.NEEDS_BACK,))
@@ -76,14 +76,10 @@ class Workflow:
         chosen = scorers or scoring.default_scorers(self.settings)
         records = scoring.evaluation_records(self.tables.read(PHASE_TWO), self.settings)
         with self.clock.stage("evaluate"):
-            keep = [
-                F.col(f"inputs.{self.settings.key}").alias(self.settings.key),
-                F.col(scoring.LANGUAGE).alias("detected_language"),
-            ]
+            names = [*self.settings.identity(records.select("inputs.*").columns), "detected_language"]
+            keep = [F.col(f"inputs.{name}").alias(name) for name in names]
             evaluated = scoring.evaluate(records, chosen, self.inference, keep)
-            routed = routing.route(
-                evaluated, [self.settings.key, "detected_language", *[s.name for s in chosen]]
-            )
+            routed = routing.route(evaluated, [*names, *[s.name for s in chosen]])
             return self.tables.replace(routed, EVALUATION)
 
     def finalize(self) -> DataFrame:

@@ -111,6 +111,16 @@ class StageTables:
         writer.saveAsTable(self.name(table))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table of too few splits over the session's cores.
+
+    Only for work per row that costs more than moving the row. A table of many files
+    has splits enough and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def preview(df: DataFrame, columns: list[str], key: str, rows: int = 10) -> DataFrame:
     """A few columns of the first rows by key."""
     return df.orderBy(key).limit(rows).select(*columns)

@@ -23,7 +23,9 @@ from transqa.operators.scoring import (
     semantic_scorer,
     tidy_scores,
 )
+from transqa.sources.tables import StageTables
 
+MONITORS = "monitors"
 MONITORS_SCHEMA = "name string, scorer string, sample_rate double"
 
 
@@ -52,6 +54,15 @@ def monitor_table(spark: SparkSession, monitors: Sequence[Monitor]) -> DataFrame
     )
 
 
+def register_monitors(tables: StageTables, monitors: Sequence[Monitor]) -> DataFrame:
+    """Store the registered monitors; registering a name again replaces its entry."""
+    new = monitor_table(tables.spark, monitors)
+    if tables.exists(MONITORS):
+        kept = tables.read(MONITORS).join(new, "name", "left_anti")
+        new = kept.select(*new.columns).unionByName(new)
+    return tables.replace(new, MONITORS)
+
+
 def is_sampled(monitor: str, key: Column | str, rate: float) -> Column:
     """Whether a monitor takes a trace: a digest below the rate.
 
