@@ -121,6 +121,16 @@ def test_spans_of_shared_calls_and_their_tree(spark, counting, inference):
     assert roots["0"]["in_chars"] == roots["1"]["in_chars"] != roots["2"]["in_chars"]
 
 
+def test_spans_of_a_hot_call_are_complete(spark, counting, inference):
+    run = inference(counting(lambda e, p: "fr"), hot_rows=20)
+    df = docs(spark, ["same" if i % 3 else str(i) for i in range(90)])
+    tasks = [translate.translate_task(SETTINGS)]
+    hot = run.answer(df, tasks)
+    assert hot.keys
+    spans = observe.call_spans(df, tasks, run.store, "doc_id", "v2", hot)
+    assert spans.count() == 90 and spans.select("trace_id").distinct().count() == 90
+
+
 def test_root_spans_sum_up_children(spark):
     rows = [
         ("t", datetime(2024, 1, 1, 0, 0, 0), 1500, 10, 1, None),

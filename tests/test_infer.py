@@ -173,3 +173,20 @@ def test_old_answers_can_be_left_out(spark, counting, inference):
     assert answers(recent.run(df, [shout()])) == ["e:say a"] and len(calls.prompts) == 1
     plan = recent.store.for_tasks([shout()])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_nothing_to_ask(spark, counting, inference):
+    calls = counting()
+    run = inference(calls)
+    empty = spark.createDataFrame([], "id int, text string")
+    assert run.run(empty, [shout()]).count() == 0
+    assert answers(run.run(docs(spark, [None, None]), [shout()])) == [None, None]
+    assert not calls.prompts
+
+
+def test_rows_may_hold_maps_and_variants(spark, counting, inference):
+    df = docs(spark, ["a"] * 60).withColumns(
+        {"m": F.create_map(F.lit("k"), F.lit("v")), "v": F.parse_json(F.lit("[1]"))}
+    )
+    result = inference(counting(), hot_rows=10).run(df, [shout()])
+    assert result.where("out.answer = 'e:say a'").count() == 60

@@ -41,7 +41,10 @@ CHUNK = 64
 
 
 class ModelClient(Protocol):
-    """What a model service must offer; one is made per Spark task."""
+    """What a model service must offer; one is made per Spark task.
+
+    With more than one thread per task, ``complete`` is called from all of them.
+    """
 
     def complete(self, endpoint: str, prompt: str) -> str: ...
 
@@ -99,6 +102,8 @@ class HotKeys:
 class AnswerStore:
     """The answers table, partitioned by task, endpoint and day of the call.
 
+    Runs that write at the same time need a table each, as Spark's file commits do.
+
     ``reuse_days`` looks for answers in the newest days only. A stream needs that, or
     each of its batches would read the digests of all answers ever given; an older
     prompt is then asked anew.
@@ -284,7 +289,7 @@ def attach_answers(
     conditions = [t.when for t in tasks]
     split = all(c is not None for c in conditions)
     asked = df.where(_either(conditions)) if split else df
-    row_hash = F.xxhash64(*df.columns)
+    row_hash = _row_hash(df) if hot.keys else F.lit(0)
 
     if len(tasks) == 1:
         replies = answers.select(F.col("key").alias("_set"), F.col("reply").alias(outs[0]))
@@ -336,6 +341,15 @@ def _all_hot(keys: Column, hot: HotKeys) -> Column:
     return F.forall(keys, lambda k: k.isNull() | any_of(k, hot.keys))
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the row, to tell apart rows that share a call."""
+    plain = [
+        f.name for f in df.schema.fields
+        if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()
+    ]
+    return F.xxhash64(*plain) if plain else F.lit(0)
+
+
 def _either(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 

@@ -10,7 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transqa.operators.infer import AnswerStore, Task
+from transqa.operators.infer import AnswerStore, HotKeys, Task
+from transqa.operators.joins import spread_left_join
 
 LLM, CHAIN = "LLM", "CHAIN"
 ROOT_SPAN = "translation_pipeline"
@@ -18,12 +19,17 @@ RUNS_SCHEMA = "run_id string, run_name string, kind string, key string, value st
 
 
 def call_spans(
-    df: DataFrame, tasks: Sequence[Task], store: AnswerStore, trace_id: str, version: str
+    df: DataFrame,
+    tasks: Sequence[Task],
+    store: AnswerStore,
+    trace_id: str,
+    version: str,
+    hot: HotKeys = HotKeys(),
 ) -> DataFrame:
     """One span per document and model call behind it.
 
     A call shared by several documents shows up in each of their traces. Only keys
-    and measures are joined, no text.
+    and measures are joined, no text; ``hot`` spreads calls that very many share.
     """
     calls = F.explode(
         F.array(*[F.struct(F.lit(t.name).alias("name"), t.key.alias("key")) for t in tasks])
@@ -35,11 +41,16 @@ def call_spans(
         .groupBy("key")
         .agg(F.max_by(F.struct(*measures), order).alias("m"))
     )
-    return (
+    made = (
         df.select(F.col(trace_id).cast("string").alias("trace_id"), calls.alias("c"))
         .select("trace_id", "c.name", "c.key")
         .where(F.col("key").isNotNull())
-        .join(latest, "key")
+    )
+    answered = spread_left_join(
+        made, latest, "key", hot.has(F.col("key")), F.xxhash64("trace_id"), hot.salts
+    )
+    return (
+        answered.where(F.col("m").isNotNull())
         .select(
             "trace_id",
             F.lit(ROOT_SPAN).alias("parent"),

@@ -552,8 +552,10 @@ def call_spans(spark: SparkSession, directory: str) -> DataFrame:
     inference = double_inference(spark)
     docs = staged_documents(spark, directory, inference.store.tables)
     tasks = [translate.detect_task(SETTINGS), translate.translate_task(SETTINGS)]
-    inference.answer(docs, tasks)
-    spans = observe.call_spans(docs, tasks, inference.store, "doc_id", SETTINGS.pipeline_version)
+    hot = inference.answer(docs, tasks)
+    spans = observe.call_spans(
+        docs, tasks, inference.store, "doc_id", SETTINGS.pipeline_version, hot
+    )
     return spans.select(
         "trace_id", "parent", "name", "span_type", "endpoint", "in_chars", "out_chars", "error",
         "pipeline_version",

@@ -9,10 +9,12 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Small Arrow batches: a row may be a whole book, and a batch sits in a Python worker.
+# Concurrent writers: a stage split over a few folders is then not sorted by folder first.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
     "spark.sql.session.timeZone": "UTC",
 }
 _shipped_to: set[str] = set()
