@@ -17,7 +17,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("tests", "local[4]", **{
+    session = build_session("tests", "local[4,3]", **{
         "spark.sql.shuffle.partitions": "4",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

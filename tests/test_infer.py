@@ -190,3 +190,20 @@ def test_rows_may_hold_maps_and_variants(spark, counting, inference):
     )
     result = inference(counting(), hot_rows=10).run(df, [shout()])
     assert result.where("out.answer = 'e:say a'").count() == 60
+
+
+def test_a_lost_worker_loses_no_answer(spark, counting, inference, tmp_path):
+    marker = tmp_path / "died"
+
+    def answer(endpoint, prompt, marker=str(marker)):
+        import os
+
+        if prompt == "say 30" and not os.path.exists(marker):
+            open(marker, "w").close()
+            os._exit(1)
+        return prompt
+
+    df = docs(spark, [str(i) for i in range(60)])
+    run = inference(counting(answer), parallelism=3)
+    assert answers(run.run(df, [shout()])) == [f"say {i}" for i in range(60)]
+    assert marker.exists() and run.store.open().count() == 60
