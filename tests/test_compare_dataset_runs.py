@@ -87,17 +87,16 @@ def test_dataset_as_benchmark(spark):
 def test_stage_is_rebuilt_from_itself_and_old_versions_go(spark, tables):
     stage = tables.replace(spark.range(3).toDF("n"), "stage")
     tables.replace(stage.withColumn("m", F.col("n") * 2), "stage")
-    assert tables.read("stage").columns == ["n", "m"]
-    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {tables.schema_name}").collect()]
-    assert sum(n.startswith("stage__") for n in names) == 2
-    text = spark.sql(f"SHOW CREATE TABLE {tables.name('stage')}").first()[0]
-    current = next(n for n in names if n.startswith("stage__") and n in text)
-    tables.drop_old_versions("stage", current)
-    assert tables.read("stage").count() == 3
+    assert stage.count() == 3
+    tables.replace(tables.read("stage").withColumn("k", F.col("m") + 1), "stage")
+    assert len(tables.versions("stage")) == 2
+    assert [tuple(r) for r in tables.read("stage").orderBy("n").collect()] == [(0, 0, 1), (1, 2, 3), (2, 4, 5)]
     tables.use()
     assert spark.table("stage").count() == 3
     spark.catalog.setCurrentDatabase("default")
     assert [r["n"] for r in preview(tables.read("stage"), ["n"], "n", 2).collect()] == [0, 1]
+    tables.drop("stage")
+    assert not tables.exists("stage") and not tables.versions("stage")
 
 
 def test_dataset_table_is_made_once(spark, tables):
@@ -109,11 +108,12 @@ def test_dataset_table_is_made_once(spark, tables):
 
 def test_spans_of_shared_calls_and_their_tree(spark, counting, inference):
     run = inference(counting(lambda e, p: "fr"))
-    df = docs(spark, ["same", "same", "other"])
+    df = docs(spark, ["same", "same", "other"]).withColumn("file_name", F.lit("x.pdf"))
     tasks = [translate.detect_task(SETTINGS), translate.translate_task(SETTINGS)]
     run.answer(df, tasks)
-    spans = observe.call_spans(df, tasks, run.store, "doc_id", "v2")
+    spans = observe.call_spans(df, tasks, run.store, "doc_id", "v2", metadata=["file_name"])
     assert spans.count() == 6
+    assert {(r["file_name"], r["pipeline_version"]) for r in spans.collect()} == {("x.pdf", "v2")}
     tree = observe.span_tree(spans)
     roots = {r["trace_id"]: r for r in tree.where("parent is null").collect()}
     assert set(roots) == {"0", "1", "2"} and {r["children"] for r in roots.values()} == {2}

@@ -184,14 +184,16 @@ class Inference:
             return self._hot_keys(seen)
         # The pending prompts are written once, by round, so that each round prunes
         # to its own files instead of scanning the documents again.
+        stage = f"{self.store.table}_pending"
         pending = self.store.tables.replace(
             prompts.withColumn("round", F.pmod(F.xxhash64("key"), F.lit(self.rounds)).cast("int")),
-            f"{self.store.table}_pending",
+            stage,
             ("round",),
         )
         for number in range(self.rounds):
             batch = pending.where(F.col("round") == number).drop("round")
             self.store.append(self._call(self._spread(batch)))
+        self.store.tables.drop(stage)
         return self._hot_keys(seen)
 
     def unanswered(self, df: DataFrame, tasks: Sequence[Task]) -> DataFrame:

@@ -25,11 +25,13 @@ def call_spans(
     trace_id: str,
     version: str,
     hot: HotKeys = HotKeys(),
+    metadata: Sequence[str] = (),
 ) -> DataFrame:
     """One span per document and model call behind it.
 
     A call shared by several documents shows up in each of their traces. Only keys
     and measures are joined, no text; ``hot`` spreads calls that very many share.
+    ``metadata`` names columns, such as a file name, to tag every span with.
     """
     calls = F.explode(
         F.array(*[F.struct(F.lit(t.name).alias("name"), t.key.alias("key")) for t in tasks])
@@ -42,8 +44,8 @@ def call_spans(
         .agg(F.max_by(F.struct(*measures), order).alias("m"))
     )
     made = (
-        df.select(F.col(trace_id).cast("string").alias("trace_id"), calls.alias("c"))
-        .select("trace_id", "c.name", "c.key")
+        df.select(F.col(trace_id).cast("string").alias("trace_id"), *metadata, calls.alias("c"))
+        .select("trace_id", *metadata, "c.name", "c.key")
         .where(F.col("key").isNotNull())
     )
     answered = spread_left_join(
@@ -57,6 +59,7 @@ def call_spans(
             "name",
             F.lit(LLM).alias("span_type"),
             *[F.col(f"m.{m}").alias(m) for m in measures],
+            *metadata,
             F.lit(version).alias("pipeline_version"),
         )
     )

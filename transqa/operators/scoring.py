@@ -194,8 +194,8 @@ def evaluate(
         raise ValueError("these scorers ask a model: give an inference")
     kept = records.select(*keep).columns
     direct = [s.direct.alias(s.name) for s in scorers if s.direct is not None]
-    named = [c for c in keep if not (isinstance(c, str) and c in records.columns)]
-    rows = records.select("*", *named, *direct)
+    rest = [c for c in records.columns if c not in kept]
+    rows = records.select(*rest, *keep, *direct)
     if not tasks:
         return rows.select(*kept, *[s.name for s in scorers])
     carry = [*kept, *[s.name for s in scorers if s.direct is not None]]

@@ -9,6 +9,7 @@ never sees half a table.
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -34,11 +35,16 @@ def shared_root(spark: SparkSession) -> str:
 
 @dataclass(frozen=True)
 class StageTables:
-    """The tables of one catalog schema."""
+    """The tables of one catalog schema.
+
+    Of a replaced stage the newest ``keep_versions`` stay: the one before is there for
+    readers that had begun on it.
+    """
 
     spark: SparkSession
     schema: str
     catalog: str | None = None
+    keep_versions: int = 2
 
     @classmethod
     def at(cls, spark: SparkSession, schema: str, location: str | None = None,
@@ -77,11 +83,13 @@ class StageTables:
 
     def replace(self, df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Materialise a DataFrame as the new content of a table and read it back."""
-        version = f"{table}__{uuid.uuid4().hex[:12]}"
+        version = f"{table}__{time.time_ns():020d}_{uuid.uuid4().hex[:6]}"
         self._write(df, version, "errorifexists", partition_by)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(table)} AS SELECT * FROM {self.name(version)}"
         )
+        for old in self.versions(table)[: -self.keep_versions]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(old)}")
         return self.read(table)
 
     def append(self, df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -96,13 +104,16 @@ class StageTables:
         )
         return self.read(table)
 
-    def drop_old_versions(self, table: str, keep: str) -> None:
-        """Drop every version of a stage but the one its view reads."""
-        for row in self.spark.sql(
-            f"SHOW TABLES IN {self.schema_name} LIKE '{table}__*'"
-        ).collect():
-            if row["tableName"] != keep:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(row['tableName'])}")
+    def versions(self, table: str) -> list[str]:
+        """Names of a stage's versions, oldest first."""
+        found = self.spark.sql(f"SHOW TABLES IN {self.schema_name} LIKE '{table}__*'").collect()
+        return sorted(row["tableName"] for row in found)
+
+    def drop(self, table: str) -> None:
+        """Drop a stage with all its versions."""
+        self.spark.sql(f"DROP VIEW IF EXISTS {self.name(table)}")
+        for version in self.versions(table):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(version)}")
 
     def _write(self, df: DataFrame, table: str, mode: str, partition_by: tuple[str, ...]) -> None:
         writer = df.write.mode(mode).format("parquet")
