@@ -23,7 +23,7 @@ NEEDS_BACK = "needs_back_translation"
 
 def detect_task(settings: Settings, text: str = "extracted_text") -> Task:
     prompt = render(DETECT_PROMPT, text=prefix(text, settings.prefixes.detect))
-    return Task(DETECT, settings.endpoints.detect, prompt, "_detected")
+    return Task(DETECT, settings.endpoints.detect, prompt, "_detected", F.col(text).isNotNull())
 
 
 def translate_task(
@@ -32,12 +32,15 @@ def translate_task(
     lang: str = "detected_language",
     endpoint: str | Column | None = None,
 ) -> Task:
+    when = F.col(text).isNotNull()
     if settings.name_source_language:
         prompt = render(TRANSLATE_PROMPT_WITH_SOURCE, text=text, lang=lang)
+        when = when & F.col(lang).isNotNull()
     else:
         prompt = render(TRANSLATE_PROMPT, text=text)
+    if settings.skip_english:
+        when = when & ~is_english(lang)
     chosen = settings.endpoints.translate if endpoint is None else endpoint
-    when = ~is_english(lang) if settings.skip_english else None
     return Task(TRANSLATE, chosen, prompt, "_translated", when)
 
 

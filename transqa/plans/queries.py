@@ -683,7 +683,7 @@ def _wall_clock(trend: DataFrame) -> DataFrame:
 def _event_scores(events: DataFrame) -> DataFrame:
     """Events as scores: a type is a monitor and a small value passes."""
     return events.select(
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts",
         F.col("event_type").alias("monitor"),
         (F.col("value") < SLOW_VALUE).alias("value"),
         F.concat(F.lit("v"), (F.col("user_id") % 2).cast("string")).alias("pipeline_version"),
