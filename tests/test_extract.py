@@ -75,7 +75,8 @@ def test_files_by_glob_and_own_parser(spark, tmp_path):
 
         return parse
 
-    files = scan_files(spark, str(tmp_path))
+    assert scan_files(spark, str(tmp_path)).count() == 1
+    files = scan_files(spark, str(tmp_path), recursive=True)
     assert files.columns == ["path", "content"]
     rows = extract_text(parse_with(files, parser)).orderBy("file_name").collect()
     assert [(r["file_name"], r["extracted_text"], r["num_pages"]) for r in rows] == [

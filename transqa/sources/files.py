@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from transqa.functions.text import col
 
 
-def scan_files(spark: SparkSession, directory: str, glob: str = "*.pdf") -> DataFrame:
-    """``(path, content)`` of every file under a directory whose name matches.
+def scan_files(
+    spark: SparkSession, directory: str, glob: str = "*.pdf", recursive: bool = False
+) -> DataFrame:
+    """``(path, content)`` of every file in a directory whose name matches.
 
     The content is only read when a later step uses the column.
     """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
+        .option("recursiveFileLookup", recursive)
         .load(directory)
         .select("path", "content")
     )
