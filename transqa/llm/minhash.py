@@ -6,7 +6,9 @@ four. Two signatures that differ in at most ``DISTANCE`` = 2 * CHUNKS - 1 places
 by the pigeonhole principle, have a chunk with at most one error, so they share a
 chunk with one place left out: the index holds every chunk with each of its places
 left out, and finds *all* pairs within that distance. At Jaccard 0.8 a pair lies
-beyond it with probability about 1e-6. Pairs found are confirmed on full shingle sets.
+beyond it with probability about 1e-6. Where groups stay apart in a shared bucket, pairs must
+also agree in a sketch of ``BITS`` one-bit minima, which a pair at the limit fails with
+probability about 1e-6. Pairs found are confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ CHUNKS, WIDTH = 12, 4
 SYMBOLS = CHUNKS * WIDTH
 DISTANCE = 2 * CHUNKS - 1
 SIMILARITY = 80     # per cent
+BITS = 2048
+NUMBER = 48         # a key's bits above this number its bucket
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = SIMILARITY,
@@ -74,14 +78,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = SIMILARITY,
         "key", "id", "hub", "n", F.coalesce("component", "id").alias("label"))
     mixed = told.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where(
         "x < y").select("key")
-    open_ = told.where("n > 2").join(mixed, "key").join(
-        classes.select(F.col("rep").alias("id"), "symbols"), "id")
+    open_ = stored(told.where("n > 2").join(mixed, "key").select("key", "id", "hub", "label"), "open")
+    sketches = stored(_sketches(source.join(open_.select("id").distinct(), "id", "left_semi"), words), "sketches")
     sizes = used.where(F.col("n") > BLOCK).select("key", "n")
     rest = (
-        gathered(blocked(open_.drop("n"), sizes, "key", F.col("id")), "key")
-        .select("key", "block_a", "block_b", "block", "id", "hub", "label",
-                F.array_join(F.col("symbols"), " ").alias("symbols"))
-        .mapInArrow(_pairs, "a long, b long").distinct()
+        gathered(blocked(open_.join(sketches, "id"), sizes, "key", F.col("id")), "key")
+        .select("key", "block_a", "block_b", "block", "id", "hub", "label", "symbols", "sketch")
+        .mapInArrow(near_pairs(most_apart(per_cent), np.uint16, _first_key), "a long, b long").distinct()
     )
     more = _confirmed(rest, source, words, per_cent)
     final = components(links.unionByName(more))
@@ -113,6 +116,28 @@ def _signatures(source: DataFrame, words: int) -> DataFrame:
         sign, "id long, n_shingles long, sum_a long, sum_b long, symbols array<int>")
 
 
+def _sketches(source: DataFrame, words: int) -> DataFrame:
+    """Signature and one-bit sketch as bytes."""
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        minima, more = sh.MinHash(SYMBOLS), sh.MinHash(BITS, seed=8)
+        for batch in batches:
+            for first, data, bounds in sh.slices(batch["text"]):
+                sets, at = _sets(data, bounds, words)
+                symbols = (sh.mix(minima.minima(sets, at)) & np.uint64(0xFFFF)).astype(np.uint16)
+                yield pa.RecordBatch.from_arrays([
+                    batch["id"].slice(first, len(at) - 1), 
+                    pa.array([x.tobytes() for x in symbols], pa.binary()), bits(more.minima(sets, at))],
+                    ["id", "symbols", "sketch"])
+
+    return source.mapInArrow(sketch, "id long, symbols binary, sketch binary")
+
+
+def most_apart(per_cent: int) -> int:
+    """Sketch bits in which a pair at the limit may differ: its mean and 4.75 deviations."""
+    rate = (1 - per_cent / 100) / 2
+    return int(BITS * rate + 4.75 * (BITS * rate * (1 - rate)) ** 0.5)
+
+
 def _sets(data: np.ndarray, bounds: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     hashes, _, _, rows = sh.words(data, bounds)
     return sh.distinct(*sh.shingles(hashes, rows, words))
@@ -139,28 +164,54 @@ def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(apart <= DISTANCE).select("a", "b")
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of each run within the distance, of different groups and not yet tried."""
-    for table in runs(batches, "key"):
-        at = run_bounds(table, "key")
-        ids, label, hub, block = (table[c].to_numpy() for c in ("id", "label", "hub", "block"))
-        own = table["block_a"].to_numpy() == table["block_b"].to_numpy()
-        symbols = np.array([s.split() for s in table["symbols"].to_pylist()], np.uint16)
-        found: list[np.ndarray] = []
-        for lo, hi in zip(at[:-1], at[1:], strict=True):
-            for i in range(lo, hi - 1):
-                if ids[i] == hub[i]:
-                    continue
-                j = np.arange(i + 1, hi)
-                j = j[(label[j] != label[i]) & (ids[j] != hub[j])]
-                if not own[i]:
-                    j = j[block[j] != block[i]]
-                j = j[(symbols[j] != symbols[i]).sum(1) <= DISTANCE]
-                if len(j):
-                    found.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
-        if found:
-            pairs = np.unique(np.concatenate(found, 1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+def near_pairs(most: int, kind: type, first):
+    """Pairs of a run whose sketches are near, of different groups and not yet tried.
+
+    ``first`` gives, for signatures against one, the number of the first bucket that they
+    share, or -1 to leave the pair out: each pair is taken up in that bucket alone. A
+    key's high bits are the number of its bucket.
+    """
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, "key"):
+            at = run_bounds(table, "key")
+            ids, label, hub, block = (table[c].to_numpy() for c in ("id", "label", "hub", "block"))
+            own = table["block_a"].to_numpy() == table["block_b"].to_numpy()
+            symbols = np.frombuffer(b"".join(table["symbols"].to_pylist()), kind).reshape(table.num_rows, -1)
+            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
+            number = table["key"].to_numpy() >> NUMBER
+            found: list[np.ndarray] = []
+            for lo, hi in zip(at[:-1], at[1:], strict=True):
+                for i in range(lo, hi - 1):
+                    if ids[i] == hub[i]:
+                        continue
+                    j = np.arange(i + 1, hi)
+                    j = j[(label[j] != label[i]) & (ids[j] != hub[j])]
+                    if not own[i]:
+                        j = j[block[j] != block[i]]
+                    j = j[np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64) <= most]
+                    j = j[first(symbols[j], symbols[i]) == number[i]] if len(j) else j
+                    if len(j):
+                        found.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
+            if found:
+                out = np.unique(np.concatenate(found, 1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
+
+    return pairs
+
+
+def _first_key(some: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """The first chunk with at most one error, and the place to leave out."""
+    wrong = some != one
+    chunks = wrong.reshape(len(wrong), CHUNKS, WIDTH)
+    chunk = (chunks.sum(2) <= 1).argmax(1)
+    number = chunk * WIDTH + chunks[np.arange(len(wrong)), chunk].argmax(1)
+    return np.where(wrong.sum(1) <= DISTANCE, number, -1)
+
+
+def bits(minima: np.ndarray) -> pa.Array:
+    """One bit of each minimum, as bytes per row."""
+    packed = np.packbits((sh.mix(minima) & np.uint64(1)).astype(bool), axis=1)
+    return pa.array([x.tobytes() for x in packed], pa.binary())
 
 
 def _confirmed(pairs: DataFrame, source: DataFrame, words: int, per_cent: int) -> DataFrame:
