@@ -81,7 +81,9 @@ def test_dataset_as_benchmark(spark):
         [(0, "fr", "APPROVED"), (1, "en", "SKIPPED"), (2, "nl", "REJECTED"), (3, "en", "SKIPPED")],
         "doc_id long, detected_language string, status string",
     )
-    assert tuple(evalset.check_against(dataset, fresh, "doc_id").first()) == (4, 0.5, 0.75)
+    assert tuple(evalset.check_against(dataset, fresh, "doc_id").first()) == (4, 0, 0.5, 0.75)
+    part = evalset.check_against(dataset, fresh.limit(0), "doc_id").first()
+    assert tuple(part) == (4, 4, 0.0, 0.0)
 
 
 def test_stage_is_rebuilt_from_itself_and_old_versions_go(spark, tables):
@@ -89,6 +91,9 @@ def test_stage_is_rebuilt_from_itself_and_old_versions_go(spark, tables):
     tables.replace(stage.withColumn("m", F.col("n") * 2), "stage")
     assert stage.count() == 3
     tables.replace(tables.read("stage").withColumn("k", F.col("m") + 1), "stage")
+    assert len(tables.versions("stage")) == 3
+    assert tables.read(tables.versions("stage")[0]).columns == ["n"]
+    tables.prune("stage", 2)
     assert len(tables.versions("stage")) == 2
     assert [tuple(r) for r in tables.read("stage").orderBy("n").collect()] == [(0, 0, 1), (1, 2, 3), (2, 4, 5)]
     tables.use()

@@ -88,6 +88,24 @@ def test_broken_parser_output_gives_no_document(spark):
     files = spark.createDataFrame([("/a.pdf", bytearray(b"x"))], "path string, content binary")
     row = extract_text(parse_with(files, lambda: lambda content: "not json")).first()
     assert row["parsed_result"] is None and row["extracted_text"] == ""
+    found = parse_with(files, lambda: lambda content: "not json").first()
+    assert found["parse_error"] == "no JSON"
+
+
+def test_a_bad_file_does_not_end_the_parse(spark):
+    def parser():
+        def parse(content):
+            if content == b"bad":
+                raise ValueError("torn")
+            return '{"document": {"elements": []}}'
+
+        return parse
+
+    files = spark.createDataFrame(
+        [("/a", bytearray(b"bad")), ("/b", bytearray(b"good"))], "path string, content binary")
+    rows = parse_with(files, parser).orderBy("source_path").collect()
+    assert [(r["source_path"], r["parsed_result"] is None, r["parse_error"]) for r in rows] == [
+        ("/a", True, "ValueError: torn"), ("/b", False, None)]
 
 
 def test_judge_replies(spark):

@@ -1,6 +1,8 @@
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from transqa.config import Settings
+from transqa.config import Prefixes, Settings
 from transqa.operators import scoring
 
 SETTINGS = Settings(key="doc_id")
@@ -28,12 +30,11 @@ def test_completeness_edges(spark):
         (None, "en", None, ""),
     ]
     got = verdicts(scoring.evaluate(records(spark, rows), [scoring.completeness_scorer()]), scoring.COMPLETENESS)
-    assert [v[0] for v in got] == [False, True, False, True, True, True, None, None, None, True]
+    assert [v[0] for v in got] == [False, True, False, True, False, True, None, None, None, True]
     assert [v[2] for v in got] == [None] * 6 + ["null_input"] * 3 + [None]
     assert got[2][1] == "Translation is only 29% the length of original — likely content omitted."
     assert got[1][1] == "Translation length ratio: 500% — within acceptable range."
-    # Texts are cut to the evaluation prefix first, so a long original looks complete.
-    assert got[4][1] == "Translation length ratio: 100% — within acceptable range."
+    assert got[4][1] == "Translation is only 25% the length of original — likely content omitted."
     assert got[5][1] == "Document already in English."
 
 
@@ -66,7 +67,7 @@ def test_semantic_judge(spark, counting, inference):
 
 def test_judge_sees_prefixes(spark, counting, inference):
     calls = counting(lambda e, p: '{"passed": true}')
-    scorer = scoring.semantic_scorer(SETTINGS)
+    scorer = scoring.semantic_scorer(replace(SETTINGS, prefixes=Prefixes.reference()))
     rows = [("~" * 9000, "fr", "y", "^" * 4000)]
     scoring.evaluate(records(spark, rows), [scorer], inference(calls))
     (_, prompt), = calls.prompts

@@ -84,13 +84,22 @@ class Endpoints:
 
 @dataclass(frozen=True)
 class Prefixes:
-    """Characters kept of a text at each place where one is cut."""
+    """Characters kept of a text at each place where one may be cut; None keeps it whole.
 
-    detect: int = 2000
-    evaluate: int = 5000
-    judge: int = 3000
-    dataset: int = 3000
-    compare: int = 3000
+    A cut is for a model whose window is short. Completeness compares whole lengths only where
+    ``evaluate`` is None.
+    """
+
+    detect: int | None = None
+    evaluate: int | None = None
+    judge: int | None = None
+    dataset: int | None = None
+    compare: int | None = None
+
+    @classmethod
+    def reference(cls) -> Prefixes:
+        """The fixed lengths of the published pipeline."""
+        return cls(detect=2000, evaluate=5000, judge=3000, dataset=3000, compare=3000)
 
 
 @dataclass(frozen=True)
@@ -110,6 +119,8 @@ class Settings:
     parallelism: int | None = None
     threads_per_task: int = 4
     call_rounds: int = 1
+    reuse_days: int | None = None
+    hot_rows: int = 200_000
     pipeline_version: str = "v2"
     guidelines: tuple[str, ...] = TRANSLATION_GUIDELINES
 

@@ -47,10 +47,10 @@ def words(text: Column | str) -> Column:
 
 def detect_language(
     text: Column | str,
-    chars: int = 2000,
+    chars: int | None = None,
     profiles: Mapping[str, tuple[str, ...]] = STOP_WORDS,
 ) -> Column:
-    """The language whose stop words occur most often in a text's prefix.
+    """The language whose stop words occur most often in a text, or in its first ``chars``.
 
     Ties go to the code that sorts first; no hit at all gives ``und``.
     The profile is a literal inside the expression, so there is no join, no

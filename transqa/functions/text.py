@@ -46,8 +46,9 @@ def strip(text: Column | str) -> Column:
     return F.btrim(col(text), F.lit(PYTHON_WHITESPACE))
 
 
-def prefix(text: Column | str, chars: int) -> Column:
-    return F.substring(col(text), 1, chars)
+def prefix(text: Column | str, chars: int | None) -> Column:
+    """The first characters of a text, or all of it."""
+    return col(text) if chars is None else F.substring(col(text), 1, chars)
 
 
 def or_empty(text: Column | str) -> Column:

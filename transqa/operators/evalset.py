@@ -61,16 +61,20 @@ def upsert_cases(tables: StageTables, table: str, new: DataFrame) -> DataFrame:
 def check_against(dataset: DataFrame, routed: DataFrame, key: str) -> DataFrame:
     """How often a fresh run meets the expectations of the dataset.
 
-    ``routed`` holds the fresh run's language and status per key.
+    ``routed`` holds the fresh run's language and status per key. A case without a
+    fresh result is counted as ``missing`` and as not met; of several results of one key the one
+    of the smallest language and status counts.
     """
     expected = dataset.select(F.col(f"inputs.{key}").alias(key), "expectations.*")
-    both = expected.join(routed.select(key, "detected_language", "status"), key)
+    fresh = routed.groupBy(key).agg(F.min(F.struct("detected_language", "status")).alias("fresh"))
+    both = expected.join(fresh, key, "left").select("*", "fresh.*")
     right_language = F.col("detected_language").eqNullSafe(F.col("expected_language"))
     right_action = (F.col("status") != SKIPPED).eqNullSafe(F.col("should_translate"))
     return both.agg(
         F.count("*").alias("cases"),
-        F.avg(right_language.cast("double")).alias("language_match"),
-        F.avg(right_action.cast("double")).alias("action_match"),
+        F.count_if(F.col("fresh").isNull()).alias("missing"),
+        F.avg((F.col("fresh").isNotNull() & right_language).cast("double")).alias("language_match"),
+        F.avg((F.col("fresh").isNotNull() & right_action).cast("double")).alias("action_match"),
     )
 
 

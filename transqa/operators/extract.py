@@ -49,18 +49,35 @@ def parse_with(
 ) -> DataFrame:
     """Parse files with a parser of one's own, such as a PDF reader or service.
 
-    The parser turns one file's bytes into JSON text of the parsed document.
+    The parser turns one file's bytes into JSON text of the parsed document. A file that it
+    fails on, or whose text is no JSON, has a null document and the reason in ``parse_error``.
     """
 
     def parse(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parser = parser_factory()
-        for batch in batches:
-            yield pd.DataFrame(
-                {"source_path": batch["path"], "parsed": [parser(c) for c in batch["content"]]}
-            )
 
-    parsed = files.select("path", "content").mapInPandas(parse, "source_path string, parsed string")
-    return parsed.select("source_path", F.try_parse_json("parsed").alias("parsed_result"))
+        def one(content: bytes) -> tuple[str | None, str | None]:
+            try:
+                return parser(content), None
+            except Exception as failure:  # noqa: BLE001 - a bad file is a row, not a failed job
+                return None, f"{type(failure).__name__}: {failure}"
+
+        for batch in batches:
+            done = [one(c) for c in batch["content"]]
+            yield pd.DataFrame({
+                "source_path": batch["path"],
+                "parsed": pd.Series([d[0] for d in done], dtype=object),
+                "failure": pd.Series([d[1] for d in done], dtype=object),
+            })
+
+    parsed = files.select("path", "content").mapInPandas(
+        parse, "source_path string, parsed string, failure string"
+    )
+    document = F.try_parse_json("parsed")
+    broken = F.when(F.col("parsed").isNotNull() & document.isNull(), F.lit("no JSON"))
+    return parsed.select(
+        "source_path", document.alias("parsed_result"), F.coalesce("failure", broken).alias("parse_error")
+    )
 
 
 def extract_text(

@@ -19,7 +19,7 @@ import time
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 from typing import Protocol
 
@@ -112,12 +112,21 @@ class AnswerStore:
     tables: StageTables
     table: str = "answers"
     reuse_days: int | None = None
+    since: date | None = None
+
+    def pinned(self) -> AnswerStore:
+        """The same store with its cutoff day fixed, in UTC as the days of the calls are.
+
+        Asking and joining then see the same answers, whatever day it is by then.
+        """
+        if self.reuse_days is None or self.since is not None:
+            return self
+        return replace(self, since=datetime.now(timezone.utc).date() - timedelta(days=self.reuse_days))
 
     def open(self) -> DataFrame:
         answers = self.tables.create_or_load(self.table, ANSWERS_SCHEMA, PARTITION_COLUMNS)
-        if self.reuse_days is None:
-            return answers
-        return answers.where(F.col("day") >= F.date_sub(F.current_date(), self.reuse_days))
+        since = self.pinned().since
+        return answers if since is None else answers.where(F.col("day") >= F.lit(since))
 
     def for_tasks(self, tasks: Sequence[Task]) -> DataFrame:
         """Answers of the tasks, from their partitions alone."""
@@ -169,8 +178,9 @@ class Inference:
         ``carry`` names the columns to keep; leaving texts out of it keeps them
         out of the join.
         """
-        hot = self.answer(df, tasks)
-        return attach_answers(df, tasks, self.store, carry, hot)
+        run = replace(self, store=self.store.pinned())
+        hot = run.answer(df, tasks)
+        return attach_answers(df, tasks, run.store, carry, hot)
 
     def answer(self, df: DataFrame, tasks: Sequence[Task]) -> HotKeys:
         """Call the model for prompts that have no good answer yet.
@@ -222,14 +232,11 @@ class Inference:
         return prompts.repartition(count, F.xxhash64("key"))
 
     def _hot_keys(self, seen: Observation) -> HotKeys:
-        """The most shared calls; at most ``rows / hot_rows`` calls can be that hot.
-
-        Calls beyond the first thousand are joined without a salt.
-        """
-        found = sorted(((h["copies"], h["key"]) for h in seen.get["hot"]), reverse=True)[:1000]
+        """The most shared calls, all of them; at most ``rows / hot_rows`` calls can be that hot."""
+        found = sorted(((h["copies"], h["key"]) for h in seen.get["hot"]), reverse=True)
         if not found:
             return HotKeys()
-        salts = min(max(2, -(-found[0][0] // self.hot_rows)), 1000)
+        salts = max(2, -(-found[0][0] // self.hot_rows))
         return HotKeys(tuple(key for _, key in found), salts)
 
     def _call(self, prompts: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ _STOP = ", ".join(f"('{code}', '{word}')" for code, words in STOP_WORDS.items()
 _DETECT = rf"""
 stop(lang, word) AS (VALUES {_STOP}),
 words AS (
-  SELECT doc_id, unnest(regexp_split_to_array(lower(left(text, 2000)), '[^\p{{L}}]+')) AS word
+  SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{{L}}]+')) AS word
   FROM documents),
 hits AS (SELECT doc_id, lang, count(*) AS n FROM words JOIN stop USING (word) GROUP BY ALL),
 best AS (
@@ -49,14 +49,14 @@ tr AS (
          {_made(10)} AS english, {_made(7)} AS back
   FROM documents),
 ev AS (
-  SELECT doc_id, detected_language, left(text, 5000) AS original,
-         left(english, 5000) AS english, left(back, 5000) AS back
+  SELECT doc_id, detected_language, text AS original,
+         english AS english, back AS back
   FROM tr)
 """
 
 
 def _double_detect(text: str) -> str:
-    head = f"left({text}, 2000)"
+    head = f"{text}"
     return (
         f"CASE WHEN contains({head}, ' the ') OR contains({head}, ' and ') THEN 'en' "
         f"WHEN contains({head}, ' der ') OR contains({head}, ' und ') THEN 'de' "
@@ -110,7 +110,7 @@ complete AS (
 
 
 def _semantic(source: str) -> str:
-    n = "length(left(original, 3000))"
+    n = "length(original)"
     good = f"({n} % 5 NOT IN (2, 3))"
     return f"""
 semantic AS (
@@ -201,7 +201,7 @@ WITH spans AS (
   FROM events),
 used AS (
   SELECT endpoint, count(*) AS num_documents, sum(chars)::BIGINT AS estimated_total_tokens,
-         (max(ended) - min(started)) / 1000 AS seconds
+         sum(ended - started)::BIGINT / 1000 AS seconds
   FROM spans GROUP BY endpoint),
 speed AS (
   SELECT endpoint, num_documents, estimated_total_tokens,
@@ -213,7 +213,7 @@ speed AS (
 
 _CASES = """
 cases AS (
-  SELECT doc_id, left(text, 3000) AS original, lang AS detected_language,
+  SELECT doc_id, text AS original, lang AS detected_language,
          lang AS expected_language, lang <> 'en' AS should_translate
   FROM documents)"""
 _FLAT_CASES = (
@@ -327,7 +327,7 @@ FROM documents ORDER BY doc_id LIMIT 1""",
     "model_calls": f"""
 WITH {_PHASE_ONE}, texts AS (
   SELECT DISTINCT text, english, back, detected_language FROM two),
-heads AS (SELECT DISTINCT left(text, 2000) AS head FROM documents),
+heads AS (SELECT DISTINCT text AS head FROM documents),
 backs AS (
   SELECT DISTINCT detected_language, english, back FROM two
   WHERE detected_language <> 'en' AND english IS NOT NULL)
@@ -387,8 +387,8 @@ SELECT doc_id, status, semantic_preservation_rationale, completeness_rationale
 FROM routed WHERE status IN ('REJECTED', 'NEEDS_REVIEW') ORDER BY doc_id LIMIT 10""",
     "final_results": f"""
 WITH {_PHASE_ONE}, cut AS (
-  SELECT doc_id, detected_language, left(text, 5000) AS original,
-         left(english, 5000) AS english, left(back, 5000) AS back FROM two),
+  SELECT doc_id, detected_language, text AS original,
+         english AS english, back AS back FROM two),
 {_semantic('cut')}, {_completeness('cut')}, {_routed('cut')}
 SELECT * FROM routed""",
     "comparison_sample": """
@@ -405,8 +405,8 @@ FROM (UNPIVOT (SELECT endpoint, num_documents::DOUBLE AS num_documents,
       ON COLUMNS(* EXCLUDE endpoint) INTO NAME metric VALUE value)
 GROUP BY metric""",
     "endpoint_quality": f"""{_COMPARED}, cut AS (
-  SELECT endpoint, doc_id, 'unknown' AS detected_language, left(text, 3000) AS original,
-         left(coalesce(english, ''), 3000) AS english FROM pairs),
+  SELECT endpoint, doc_id, 'unknown' AS detected_language, text AS original,
+         coalesce(english, '') AS english FROM pairs),
 {_guidelines('cut')},
 scores AS (
   SELECT endpoint, 'completeness_check' AS scorer, {_RATIO} >= 0.3 AS value, NULL AS error FROM cut
@@ -421,17 +421,17 @@ WITH {_CASES}, merged AS (
          l.doc_id IS NOT NULL AND should_translate AS should_translate
   FROM cases c LEFT JOIN labels l USING (doc_id)
   UNION ALL
-  SELECT -1 - item_id, left(text, 3000), 'en', 'en', false FROM benchmark)
+  SELECT -1 - item_id, text, 'en', 'en', false FROM benchmark)
 SELECT {_FLAT_CASES} FROM merged""",
     "evalset_check": f"""
 WITH {_DETECT}
-SELECT count(*) AS cases, avg(CAST(detected_language = lang AS INT)) AS language_match,
+SELECT count(*) AS cases, 0::BIGINT AS missing, avg(CAST(detected_language = lang AS INT)) AS language_match,
        avg(CAST((detected_language <> 'en') = (lang <> 'en') AS INT)) AS action_match
 FROM detected JOIN documents USING (doc_id)""",
     "call_spans": f"""
 WITH {_PHASE_ONE}, spans AS (
   SELECT doc_id, 'detect_language' AS name, 'fast' AS endpoint,
-         {_DETECT_CHARS} + length(left(text, 2000)) AS in_chars,
+         {_DETECT_CHARS} + length(text) AS in_chars,
          length(detected_language) + CASE detected_language
            WHEN 'de' THEN 2 WHEN 'fr' THEN 1 ELSE 0 END AS out_chars, NULL AS error FROM one
   UNION ALL

@@ -42,10 +42,11 @@ class Workflow:
         s = self.settings
         return Inference(
             self.client_factory,
-            AnswerStore(self.tables, answers),
+            AnswerStore(self.tables, answers, s.reuse_days),
             s.parallelism,
             s.threads_per_task,
             s.call_rounds,
+            s.hot_rows,
         )
 
     def parse(self, parsed: DataFrame) -> DataFrame:

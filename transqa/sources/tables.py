@@ -37,14 +37,13 @@ def shared_root(spark: SparkSession) -> str:
 class StageTables:
     """The tables of one catalog schema.
 
-    Of a replaced stage the newest ``keep_versions`` stay: the one before is there for
-    readers that had begun on it.
+    All versions of a replaced table stay, for readers that had begun on one and for looking
+    back; ``prune`` drops old ones.
     """
 
     spark: SparkSession
     schema: str
     catalog: str | None = None
-    keep_versions: int = 2
 
     @classmethod
     def at(cls, spark: SparkSession, schema: str, location: str | None = None,
@@ -88,10 +87,14 @@ class StageTables:
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(table)} AS SELECT * FROM {self.name(version)}"
         )
-        for old in self.versions(table)[: -self.keep_versions]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(old)}")
         return self.read(table)
 
+    def prune(self, table: str, keep: int) -> None:
+        """Drop all but the newest ``keep`` versions."""
+        names = self.versions(table)
+        for old in names[: max(0, len(names) - max(1, keep))]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(old)}")
+
     def append(self, df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> None:
         self._write(df, table, "append", partition_by)
 
