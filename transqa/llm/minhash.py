@@ -70,7 +70,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = SIMILARITY,
     hits = stored(keys.join(used, "key").select("key", "id", "hub", "n"), "hits")
     # First every member against its bucket's smallest: linear, and joins nearly all groups.
     first = hits.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = _confirmed(_near(first, classes), source, words, per_cent).unionByName(same)
+    # One pass over the texts of all documents that share a bucket. Shuffled at any size, so
+    # that cost follows the input and no list of ids is broadcast.
+    sharing = hits.select("id").distinct().hint("merge")
+    sets = stored(_full_sets(source.join(sharing, "id", "left_semi"), words), "sets")
+    links = confirmed(_near(first, classes), sets, per_cent).unionByName(same)
     links = stored(links, "links")
     label = components(links)
     # Then all members of different groups, in the buckets that still hold several.
@@ -79,14 +83,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = SIMILARITY,
     mixed = told.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where(
         "x < y").select("key")
     open_ = stored(told.where("n > 2").join(mixed, "key").select("key", "id", "hub", "label"), "open")
-    sketches = stored(_sketches(source.join(open_.select("id").distinct(), "id", "left_semi"), words), "sketches")
+    sketches = stored(_sketches(sets.join(open_.select("id").distinct(), "id", "left_semi")), "sketches")
     sizes = used.where(F.col("n") > BLOCK).select("key", "n")
     rest = (
         gathered(blocked(open_.join(sketches, "id"), sizes, "key", F.col("id")), "key")
         .select("key", "block_a", "block_b", "block", "id", "hub", "label", "symbols", "sketch")
         .mapInArrow(near_pairs(most_apart(per_cent), np.uint16, _first_key), "a long, b long").distinct()
     )
-    more = _confirmed(rest, source, words, per_cent)
+    more = confirmed(rest, sets, per_cent)
     final = components(links.unionByName(more))
     return (
         member.join(final.withColumnRenamed("id", "rep"), "rep", "left")
@@ -116,20 +120,28 @@ def _signatures(source: DataFrame, words: int) -> DataFrame:
         sign, "id long, n_shingles long, sum_a long, sum_b long, symbols array<int>")
 
 
-def _sketches(source: DataFrame, words: int) -> DataFrame:
-    """Signature and one-bit sketch as bytes."""
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        minima, more = sh.MinHash(SYMBOLS), sh.MinHash(BITS, seed=8)
+def _full_sets(source: DataFrame, words: int) -> DataFrame:
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, bounds in sh.slices(batch["text"]):
                 sets, at = _sets(data, bounds, words)
-                symbols = (sh.mix(minima.minima(sets, at)) & np.uint64(0xFFFF)).astype(np.uint16)
-                yield pa.RecordBatch.from_arrays([
-                    batch["id"].slice(first, len(at) - 1), 
-                    pa.array([x.tobytes() for x in symbols], pa.binary()), bits(more.minima(sets, at))],
-                    ["id", "symbols", "sketch"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch["id"].slice(first, len(at) - 1), sh.lists(sets, at)], ["id", "full"])
+
+    return source.mapInArrow(collect, "id long, full array<long>")
+
+
+def _sketches(sets: DataFrame) -> DataFrame:
+    """Signature and one-bit sketch as bytes."""
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        minima, more = sh.MinHash(SYMBOLS), sh.MinHash(BITS, seed=8)
+        for ids, values, at in sh.flat(batches):
+            symbols = (sh.mix(minima.minima(values, at)) & np.uint64(0xFFFF)).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([
+                ids, pa.array([x.tobytes() for x in symbols], pa.binary()), bits(more.minima(values, at))],
+                ["id", "symbols", "sketch"])
 
-    return source.mapInArrow(sketch, "id long, symbols binary, sketch binary")
+    return sets.mapInArrow(sketch, "id long, symbols binary, sketch binary")
 
 
 def most_apart(per_cent: int) -> int:
@@ -214,22 +226,12 @@ def bits(minima: np.ndarray) -> pa.Array:
     return pa.array([x.tobytes() for x in packed], pa.binary())
 
 
-def _confirmed(pairs: DataFrame, source: DataFrame, words: int, per_cent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough; sets are made for them alone."""
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, data, bounds in sh.slices(batch["text"]):
-                sets, at = _sets(data, bounds, words)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["id"].slice(first, len(at) - 1), sh.lists(sets, at)], ["id", "full"])
-
-    pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    full = stored(source.join(wanted, "id", "left_semi").mapInArrow(collect, "id long, full array<long>"), "sets")
+def confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """The pairs whose full sets, from (id, full), are similar enough."""
     both = F.size(F.array_intersect("fa", "fb"))
     return (
-        pairs.join(full.select(F.col("id").alias("a"), F.col("full").alias("fa")), "a")
-        .join(full.select(F.col("id").alias("b"), F.col("full").alias("fb")), "b")
+        pairs.join(sets.select(F.col("id").alias("a"), F.col("full").alias("fa")), "a")
+        .join(sets.select(F.col("id").alias("b"), F.col("full").alias("fb")), "b")
         .where(100 * both >= per_cent * (F.size("fa") + F.size("fb") - both))
         .select("a", "b").distinct()
     )

@@ -129,3 +129,17 @@ def signed(values: np.ndarray) -> pa.Array:
 
 def lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), signed(values))
+
+
+def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Ids, values and bounds of batches of (id, full) of about SLICE bytes."""
+    for batch in batches:
+        full = batch["full"]
+        ends = np.cumsum(full.value_lengths().to_numpy(zero_copy_only=False))
+        first = 0
+        while first < len(full):
+            base = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, base + SLICE // 8, "right")))
+            values = full.slice(first, last - first).flatten().to_numpy().view(np.uint64)
+            yield batch["id"].slice(first, last - first), values, np.concatenate([[0], ends[first:last] - base])
+            first = last
