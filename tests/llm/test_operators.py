@@ -347,3 +347,22 @@ def test_pipeline_stages(spark, odd):
         docs = stage(spark, docs, "/root/testdata/sf0.001")
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
     assert {r.doc_id for r in docs.collect()} <= {0, 8}
+
+
+def test_similar_lines_are_grouped_as_by_brute_force(spark):
+    from transqa.llm.passages import _alike_lines, _paragraphs
+
+    words = [f"v{i}" for i in range(60)]
+    lines = {i: " ".join(w if (j * 11 + i) % (9 + i % 50) else f"y{i}" for j, w in enumerate(words)) for i in range(120)}
+    lines = {i: t for t, i in {t: i for i, t in lines.items()}.items()}     # equal lines are one
+    source = spark.createDataFrame(list(lines.items()), "id long, text string")
+    found = source.mapInArrow(_paragraphs, "id long, words long, start int, stop int, h long, line boolean").where("line")
+    hashes = {r.h: r.id for r in found.collect()}
+    got = {}
+    for r in _alike_lines(source, found, 80).collect():
+        got.setdefault(r.component, set()).add(hashes[r.id])
+    sets, links = jaccard_links(lines, 5, 80)
+    want = {}
+    for i, c in groups(links, lines).items():
+        want.setdefault(c, set()).add(i)
+    assert {frozenset(g) for g in got.values()} == {frozenset(g) for g in want.values() if len(g) > 1}

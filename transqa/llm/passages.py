@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transqa.llm import shingles as sh
-from transqa.llm.buckets import BLOCK, blocked, gathered
+from transqa.llm.buckets import BLOCK, blocked, gathered, run_bounds, runs
 from transqa.llm.common import read, stored
 from transqa.llm.graph import components
-from transqa.llm.minhash import BITS, NUMBER, bits, most_apart, near_pairs
+from transqa.llm.minhash import NUMBER, confirmed
 
 LINE, FLOAT, REACH = 10, 24, 28
 BANDS, ROWS = 8, 3
@@ -57,7 +57,7 @@ def repeated_passages(docs: DataFrame, per_cent: int = SIMILARITY, id_col: str =
         F.min("first").alias("lo"), F.max("last").alias("hi"))
     shared = told.join(grouped, "component", "left").select(
         "h", F.coalesce("lo", "first").alias("lo"), F.coalesce("hi", "last").alias("hi")).where("lo < hi")
-    hits = found.where("h IS NOT NULL").join(shared, "h").select("id", "start", "stop", "lo")
+    hits = found.where("h IS NOT NULL").join(shared.hint("merge"), "h").select("id", "start", "stop", "lo")
     # Equal ids of a document fold into one row of fixed size per range before ranges are merged.
     per = hits.groupBy("id").agg(
         F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("all_"),
@@ -180,10 +180,6 @@ def _keys(minima: np.ndarray) -> np.ndarray:
     return (folded >> np.uint64(64 - NUMBER) | number).view(np.int64)
 
 
-def _first_band(some: np.ndarray, one: np.ndarray) -> np.ndarray:
-    return (some == one).argmax(1)
-
-
 def _alike_lines(source: DataFrame, lines: DataFrame, per_cent: int) -> DataFrame:
     """(id, component) of line hashes that are similar to another line's, directly or not."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,61 +198,79 @@ def _alike_lines(source: DataFrame, lines: DataFrame, per_cent: int) -> DataFram
         "key", "hub", "n"), "used")
     hits = stored(keys.join(used, "key").select("key", "id", "hub", "n").distinct(), "band_hits")
     star = hits.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(_confirmed(star, source, lines, per_cent), "line_links")
+    sets = stored(_full_sets(source, lines, hits.select("id").distinct()), "line_sets")
+    links = stored(confirmed(star, sets, per_cent), "line_links")
     label = components(links)
     told = hits.join(label, "id", "left").select(
         "key", "id", "hub", "n", F.coalesce("component", "id").alias("label"))
     mixed = told.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where(
         "x < y").select("key")
     open_ = stored(told.where("n > 2").join(mixed, "key").select("key", "id", "hub", "label"), "open_lines")
-    sketches = stored(_sketches(_holders(source, lines, open_.select("id").distinct()), open_), "line_sketches")
-    dealt = blocked(open_.join(sketches, "id"), used.where(F.col("n") > BLOCK).select("key", "n"), "key", F.col("id"))
+    dealt = blocked(open_.join(sets, "id"), used.where(F.col("n") > BLOCK).select("key", "n"), "key", F.col("id"))
     rest = gathered(dealt, "key").select(
-        "key", "block_a", "block_b", "block", "id", "hub", "label", "symbols", "sketch").mapInArrow(
-        near_pairs(most_apart(per_cent), np.int64, _first_band), "a long, b long").distinct()
-    return components(links.unionByName(_confirmed(rest, source, lines, per_cent)))
-
-
-def _holders(source: DataFrame, lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One document for each wanted line."""
-    at = lines.join(wanted.select(F.col("id").alias("h")), "h", "left_semi").groupBy("h").agg(F.min("id").alias("id"))
-    return source.join(at.select("id").distinct(), "id", "left_semi")
-
-
-def _sketches(holders: DataFrame, wanted: DataFrame) -> DataFrame:
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        minima, more = sh.MinHash(BANDS * ROWS), sh.MinHash(BITS, seed=8)
-        for batch in batches:
-            for _, data, bounds in sh.slices(batch["text"]):
-                h, sets, at = _line_sets(data, bounds)
-                keys = _keys(minima.minima(sets, at))
-                yield pa.RecordBatch.from_arrays([
-                    sh.signed(h), pa.array([k.tobytes() for k in keys], pa.binary()), bits(more.minima(sets, at))],
-                    ["id", "symbols", "sketch"])
+        "key", "block_a", "block_b", "block", "id", "hub", "label", "full").mapInArrow(
+        _links(per_cent), "a long, b long").distinct()
+    return components(links.unionByName(rest))
 
-    made = holders.mapInArrow(sketch, "id long, symbols binary, sketch binary")
-    return made.join(wanted.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
 
+def _links(per_cent: int):
+    """Links within each run between lines of different groups, checked on their full sets.
 
-def _confirmed(pairs: DataFrame, source: DataFrame, lines: DataFrame, per_cent: int) -> DataFrame:
-    """The pairs of lines whose full shingle sets are similar enough."""
+    A line is linked to one member of each group that it belongs to: the group holds
+    together already, so no more is needed and no list of pairs leaves the task.
+    """
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, "key"):
+            bounds = run_bounds(table, "key")
+            ids, label, hub, block = (table[c].to_numpy() for c in ("id", "label", "hub", "block"))
+            own = table["block_a"].to_numpy() == table["block_b"].to_numpy()
+            full = table["full"].combine_chunks()
+            size = full.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            at = np.concatenate([[0], np.cumsum(size)])
+            values = full.flatten().to_numpy().view(np.uint64)
+            found: list[np.ndarray] = []
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                for i in range(lo, hi - 1):
+                    mine = values[at[i]:at[i + 1]]
+                    if ids[i] == hub[i] or not len(mine):
+                        continue
+                    theirs = values[at[i + 1]:at[hi]]
+                    place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+                    same = np.concatenate([[0], np.cumsum(mine[place] == theirs)])
+                    j = np.arange(i + 1, hi)
+                    both = same[at[j + 1] - at[i + 1]] - same[at[j] - at[i + 1]]
+                    near = (100 * both >= per_cent * (size[i] + size[j] - both)) & (label[j] != label[i])
+                    if not own[i]:
+                        near &= block[j] != block[i]
+                    if near.any():
+                        j = j[near]
+                        j = j[np.unique(label[j], return_index=True)[1]]
+                        found.append(np.stack([np.full(len(j), ids[i]), ids[j]]))
+            if found:
+                out = np.concatenate(found, 1)
+                yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
+
+    return link
+
+
+def _full_sets(source: DataFrame, lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The shingle sets of the wanted lines, each from one document that holds it.
+
+    Texts are shuffled once and at any size, so that cost follows the input and no list
+    of ids is broadcast.
+    """
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, bounds in sh.slices(batch["text"]):
                 h, sets, at = _line_sets(data, bounds)
                 yield pa.RecordBatch.from_arrays([sh.signed(h), sh.lists(sets, at)], ["id", "full"])
 
-    pairs = stored(pairs, "line_pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    full = _holders(source, lines, wanted).mapInArrow(collect, "id long, full array<long>")
-    full = stored(full.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "line_sets")
-    both = F.size(F.array_intersect("fa", "fb"))
-    return (
-        pairs.join(full.select(F.col("id").alias("a"), F.col("full").alias("fa")), "a")
-        .join(full.select(F.col("id").alias("b"), F.col("full").alias("fb")), "b")
-        .where(100 * both >= per_cent * (F.size("fa") + F.size("fb") - both))
-        .select("a", "b").distinct()
-    )
+    wanted = stored(wanted, "wanted_lines")
+    at = lines.join(wanted.select(F.col("id").alias("h")).hint("merge"), "h", "left_semi").groupBy("h").agg(
+        F.min("id").alias("id"))
+    holders = source.join(at.select("id").distinct().hint("merge"), "id", "left_semi")
+    return holders.mapInArrow(collect, "id long, full array<long>").join(
+        wanted.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
