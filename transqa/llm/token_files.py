@@ -244,12 +244,12 @@ class Encoder:
         known = self.words
         for i, units in cut.items():
             units[1:] = [" " + u for u in units[1:]]
-        new = list({u for units in cut.values() for u in units if u not in known})
+        new = list(set().union(*cut.values()).difference(known))
         if new:
             if len(known) > self.WORDS:
                 # Bounded: start anew, with what this batch needs.
                 known = self.words = {}
-                new = list({u for units in cut.values() for u in units})
+                new = list(set().union(*cut.values()))
             self._learn(new)
         at = known.__getitem__
         return [(direct[i] if i in direct else b"".join(map(at, cut[i]))) + self.end for i in range(len(texts))]
@@ -267,7 +267,7 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[bytes]:
         out = []
         for lo in range(0, len(texts), 4096):
-            out += [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(
+            out += [_packed(e.ids) for e in self.library.encode_batch_fast(
                 texts[lo:lo + 4096], add_special_tokens=False)]
         return out
 
@@ -296,6 +296,10 @@ def tokenized(docs: DataFrame, model: str, end_id: int | None = 0, id_col: str =
         "doc_id", F.xxhash64("text")).mapInArrow(encode, "doc_id long, ids binary")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 _encoders: dict[tuple, Encoder] = {}
 
 
