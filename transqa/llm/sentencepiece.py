@@ -92,11 +92,11 @@ class Codec:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers; null and empty give none."""
         cut = [self._cut(t) if t else [] for t in texts]
-        new = list({w for words in cut for w in words if w not in self.words})
+        new = list(set().union(*cut).difference(self.words))
         if new:
             if len(self.words) > WORDS:
                 self.words = {}
-                new = list({w for words in cut for w in words})
+                new = list(set().union(*cut))
             self._learn(new)
         at = self.words.__getitem__
         return [b"".join(map(at, words)) for words in cut]
