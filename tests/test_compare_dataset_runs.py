@@ -64,7 +64,7 @@ def flat(dataset):
 def test_cases_and_idempotent_upsert(spark, tables):
     first = cases(spark, [(0, "a" * 4000, "fr"), (1, "b", "en"), (1, "b", "en")])
     once = flat(evalset.upsert_cases(tables, "cases", first))
-    assert once == [(0, "a" * 3000, "fr", True), (1, "b", "en", False)]
+    assert once == [(0, "a" * 4000, "fr", True), (1, "b", "en", False)]
     assert flat(evalset.upsert_cases(tables, "cases", first)) == once
     changed = cases(spark, [(1, "b", "en"), (2, None, None)]).withColumn(
         "expectations", F.struct(F.lit("xx").alias("expected_language"), F.lit(True).alias("should_translate"))

@@ -96,8 +96,9 @@ def test_french_sentence_is_french(spark):
 
 def test_detection_edges(spark):
     values = ["", "12 34", None, "the and der und", "la la la", "x " * 1000 + " the"]
-    # Ties go to the first code; stop words beyond the prefix do not count.
-    assert column(spark, values, detect_language("x")) == ["und", "und", None, "de", "es", "und"]
+    # Ties go to the first code; stop words beyond a wanted prefix do not count.
+    assert column(spark, values, detect_language("x")) == ["und", "und", None, "de", "es", "en"]
+    assert column(spark, values, detect_language("x", 2000)) == ["und", "und", None, "de", "es", "und"]
 
 
 def test_detection_has_no_shuffle_and_prunes_columns(spark):

@@ -84,12 +84,12 @@ def test_a_sample_is_cut_before_anything_is_asked(spark, counting, inference):
     assert kinds(calls) == ["detect", "translate"]
 
 
-def test_detection_sees_a_prefix_and_translation_everything(spark, counting, inference):
+def test_detection_and_translation_see_the_whole_text(spark, counting, inference):
     calls = counting(answer)
     df = spark.createDataFrame([(0, "x" * 2500 + "END")], "doc_id long, extracted_text string")
     translate.translate_documents(df, inference(calls), SETTINGS)
     sent = {k: p for k, (_, p) in zip(kinds(calls), calls.prompts)}
-    assert sent["detect"].count("x") == 2000 + "Identify the primary language of the following text".count("x") + 1
+    assert sent["detect"].count("x") == 2500 + "Identify the primary language of the following text".count("x") + 1
     assert sent["translate"].endswith("END")
 
 
