@@ -216,13 +216,15 @@ def _alike_lines(source: DataFrame, lines: DataFrame, per_cent: int) -> DataFram
 def _links(per_cent: int):
     """Links within each run between lines of different groups, checked on their full sets.
 
-    A line is linked to one member of each group that it belongs to: the group holds
-    together already, so no more is needed and no list of pairs leaves the task.
+    A line is linked to one member of each group that it belongs to, and from then on
+    these groups are one within the run: they hold together already, so a run gives fewer
+    links than it has groups and no list of pairs leaves the task.
     """
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, "key"):
             bounds = run_bounds(table, "key")
             ids, label, hub, block = (table[c].to_numpy() for c in ("id", "label", "hub", "block"))
+            label = label.copy()
             own = table["block_a"].to_numpy() == table["block_b"].to_numpy()
             full = table["full"].combine_chunks()
             size = full.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -232,7 +234,7 @@ def _links(per_cent: int):
             for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
                 for i in range(lo, hi - 1):
                     mine = values[at[i]:at[i + 1]]
-                    if ids[i] == hub[i] or not len(mine):
+                    if ids[i] == hub[i] or not len(mine) or (label[i + 1:hi] == label[i]).all():
                         continue
                     theirs = values[at[i + 1]:at[hi]]
                     place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
@@ -244,8 +246,11 @@ def _links(per_cent: int):
                         near &= block[j] != block[i]
                     if near.any():
                         j = j[near]
-                        j = j[np.unique(label[j], return_index=True)[1]]
+                        joined, one = np.unique(label[j], return_index=True)
+                        j = j[one]
                         found.append(np.stack([np.full(len(j), ids[i]), ids[j]]))
+                        run = label[lo:hi]
+                        run[np.isin(run, joined)] = label[i]
             if found:
                 out = np.concatenate(found, 1)
                 yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
