@@ -8,10 +8,11 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from transqa.llm import mixing, quality, secrets, sharding, shingles
+from transqa.llm import mixing, passages, quality, secrets, sharding, shingles
 from transqa.llm.embeddings import near_embeddings
 from transqa.llm.graph import components
 from transqa.llm.minhash import near_duplicates
@@ -63,7 +64,6 @@ def test_components(spark):
 
 
 def test_words_and_shingles():
-    import pyarrow as pa
 
     texts = ["A b\x0bc  D e", "", None, "a B c d E", "é ü x"]
     for _, data, bounds in shingles.slices(pa.array(texts)):
@@ -366,3 +366,21 @@ def test_similar_lines_are_grouped_as_by_brute_force(spark):
     for i, c in groups(links, lines).items():
         want.setdefault(c, set()).add(i)
     assert {frozenset(g) for g in got.values()} == {frozenset(g) for g in want.values() if len(g) > 1}
+
+
+def test_links_of_a_run_form_a_forest():
+    """Many lines alike, each of its own group: one link less than groups, all reached."""
+    n, words = 40, np.arange(20, dtype=np.int64)
+    none, ids = np.zeros(n, np.int64), np.arange(1, n + 1)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(none), pa.array(none), pa.array(none), pa.array(none), pa.array(ids),
+         pa.array(none), pa.array(ids), pa.array([words.tolist()] * n, pa.list_(pa.int64()))],
+        ["key", "block_a", "block_b", "block", "id", "hub", "label", "full"])
+    links = [pair for out in passages._links(80)(iter([batch])) for pair in zip(
+        out["a"].to_pylist(), out["b"].to_pylist(), strict=True)]
+    assert len(links) == n - 1
+    group = {i: i for i in ids.tolist()}
+    for a, b in links:
+        old, new = group[a], group[b]
+        group = {i: new if g == old else g for i, g in group.items()}
+    assert len(set(group.values())) == 1
