@@ -61,6 +61,28 @@ def test_judges_are_asked_for_sampled_traces_only(spark, counting, inference):
     assert all(r["value"] is not None for r in scores)
 
 
+def test_the_registry_drives_the_stream(spark, tables, folder):
+    short = scoring.completeness_scorer()
+    monitor.register_monitors(tables, [monitor.Monitor("a", short), monitor.Monitor("b", short)])
+
+    def scored():
+        stream = spark.readStream.schema(TRACE).parquet(f"{folder}/in")
+        monitor.start_registered(stream, tables, [short], None, folder, available_now=True).awaitTermination()
+        return sorted((r["trace_id"], r["monitor"]) for r in monitor.read_scores(spark, folder).collect())
+
+    add(spark, folder, [trace("x", 2, 0)])
+    assert scored() == [("x", "a"), ("x", "b")]
+    monitor.unregister_monitors(tables, ["b"])
+    add(spark, folder, [trace("y", 2, 1)])
+    assert scored() == [("x", "a"), ("x", "b"), ("y", "a")]
+    monitor.unregister_monitors(tables, ["a"])
+    add(spark, folder, [trace("z", 2, 2)])
+    assert len(scored()) == 3
+    monitor.register_monitors(tables, [monitor.Monitor("c", scoring.semantic_scorer(SETTINGS))])
+    with pytest.raises(ValueError, match="semantic_preservation"):
+        monitor.registered_monitors(tables, [short])
+
+
 @pytest.fixture
 def folder(spark, tables):
     return f"{shared_root(spark)}/{tables.schema}"
@@ -108,12 +130,16 @@ def test_stream_trend_equals_batch_trend(spark, folder):
         add(spark, folder, rows[start : start + 100], schema)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     monitor.stream_trend(stream, folder, available_now=True).awaitTermination()
-    got = spark.read.parquet(f"{folder}/trend")
+    got = monitor.read_trend(spark, folder)
     scores = spark.read.parquet(f"{folder}/in").withColumn("ts", F.col("ts").cast("timestamp"))
-    closed = F.col("period_end") <= F.lit(max(r[0] for r in rows)).cast("timestamp") - F.expr("interval 1 hour")
-    want = monitor.quality_trend(scores).where(closed)
+    want = monitor.quality_trend(scores)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    assert want.count() == 8
+    assert want.count() == 10
+    # A score that comes late is counted in its period.
+    add(spark, folder, [(datetime(2024, 1, 1, 3), "a", True)], schema)
+    monitor.stream_trend(stream, folder, available_now=True).awaitTermination()
+    late = monitor.read_trend(spark, folder)
+    assert late.agg(F.sum("scored")).first()[0] == want.agg(F.sum("scored")).first()[0] + 1
 
 
 def test_alerts_and_versions(spark):

@@ -128,3 +128,6 @@ def test_whole_workflow_from_parsed_documents(spark, tables):
     runs = flow.log_run("evaluation", 5, 629.0)
     keys = {r["key"] for r in runs.collect()}
     assert {"llm_endpoint", "num_documents", "pipeline_version", "phase_one_s", "total_s", "speedup"} <= keys
+    names = {r["run_name"] for r in runs.where("kind = 'metric' AND key = 'tokens_per_second'").collect()}
+    assert names == {"comparison_mini", "comparison_standard", "comparison_premium"}
+    assert runs.where("run_name = 'evaluation_completeness_check' AND key = 'scored'").first()["value"] == "5.0"

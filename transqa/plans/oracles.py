@@ -476,8 +476,22 @@ FROM e GROUP BY event_type""",
     "quality_trend_by_version": f"""
 WITH {_trend('1 day', "'v' || (user_id % 2) AS pipeline_version")} SELECT * FROM trend""",
     "pass_rate_alerts": f"WITH {_trend('1 hour')} SELECT * FROM trend WHERE pass_rate < 0.1",
-    "quality_trend_stream": f"""
-WITH {_trend('1 day')}
-SELECT * FROM trend
-WHERE period_end <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""",
+    "quality_trend_stream": f"WITH {_trend('1 day')} SELECT * FROM trend",
+    "pass_rate_alerts_stream": f"WITH {_trend('1 hour')} SELECT * FROM trend WHERE pass_rate < 0.1",
+    "registered_monitors": _SCORED + f"""
+SELECT doc_id AS trace_id, 'translation_completeness' AS monitor, value, rationale, error FROM complete
+UNION ALL
+SELECT doc_id, 'translation_guidelines_monitor', value, rationale, error FROM guided
+WHERE {_sampled('translation_guidelines_monitor', 'doc_id', 0.25)}""",
+    "evaluation_run": f"""{_SCORED}, {_TIDY},
+m AS (SELECT 'evaluation_' || scorer AS run_name, {_METRICS} FROM tidy GROUP BY scorer),
+long AS (
+  SELECT run_name, 'pass_rate' AS key, pass_rate::DOUBLE AS metric FROM m
+  UNION ALL SELECT run_name, 'scored', scored FROM m
+  UNION ALL SELECT run_name, 'passed', passed FROM m
+  UNION ALL SELECT run_name, 'errors', errors FROM m)
+SELECT 'evaluation' AS run_name, 'param' AS kind, 'llm_endpoint' AS key, 'standard' AS param, NULL::DOUBLE AS metric
+UNION ALL SELECT 'evaluation', 'param', 'num_documents', (SELECT count(*) FROM documents)::VARCHAR, NULL
+UNION ALL SELECT 'evaluation', 'param', 'pipeline_version', 'v2', NULL
+UNION ALL SELECT run_name, 'metric', key, NULL, metric FROM long""",
 }

@@ -22,7 +22,7 @@ from transqa.functions.judgment import parse_judgment
 from transqa.operators import compare, evalset, observe, routing, scoring, translate
 from transqa.operators.extract import extract_text, parse_html, with_text
 from transqa.operators.infer import AnswerStore, Inference
-from transqa.plans.workflow import PARSED, PHASE_TWO, Workflow
+from transqa.plans.workflow import PARSED, PHASE_TWO, RUNS, Workflow
 from transqa.sources.files import scan_files, table_as_files, write_text_files
 from transqa.sources.tables import StageTables, preview, shared_root, spread
 from transqa.streaming import monitor
@@ -612,6 +612,19 @@ def run_metrics(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+@query
+def evaluation_run(spark: SparkSession, directory: str) -> DataFrame:
+    """Parameters and metrics that an evaluation of all documents logs by itself."""
+    flow = _workflow(spark)
+    staged_translations(spark, directory, flow.tables)
+    flow.evaluate()
+    return flow.tables.read(RUNS).select(
+        "run_name", "kind", "key",
+        F.when(F.col("kind") == "param", F.col("value")).alias("param"),
+        F.when(F.col("kind") == "metric", F.col("value").cast("double")).alias("metric"),
+    )
+
+
 @query
 def stage_elapsed(spark: SparkSession, directory: str) -> DataFrame:
     """Elapsed time between two instants of a row, summed by type."""
@@ -674,6 +687,27 @@ def monitor_new_traces(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+@query
+def registered_monitors(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents as a stream, scored by what the registry holds: one monitor at another rate
+    than by default, one taken off."""
+    inference = double_inference(spark)
+    tables = inference.store.tables
+    defaults = monitor.default_monitors(SETTINGS)
+    meaning, _, guided = defaults
+    monitor.register_monitors(tables, defaults)
+    monitor.register_monitors(tables, [replace(guided, sample_rate=0.25)])
+    monitor.unregister_monitors(tables, [meaning.name])
+    path = f"{shared_root(spark)}/{tables.schema}/registered"
+    monitor.start_registered(
+        _trace_stream(spark, directory), tables, [m.scorer for m in defaults], inference, path,
+        available_now=True,
+    ).awaitTermination()
+    return monitor.read_scores(spark, path).select(
+        "trace_id", "monitor", "value", "rationale", "error"
+    )
+
+
 def _wall_clock(trend: DataFrame) -> DataFrame:
     """Periods without a time zone, as the events table has them."""
     bounds = ("period_start", "period_end")
@@ -711,10 +745,21 @@ def pass_rate_alerts(spark: SparkSession, directory: str) -> DataFrame:
     return _wall_clock(monitor.pass_rate_alerts(trend, ALERT_BELOW))
 
 
-@query
-def quality_trend_stream(spark: SparkSession, directory: str) -> DataFrame:
-    """The daily trend as a stream; days the watermark has not passed are still open."""
+def _streamed_trend(spark: SparkSession, directory: str, period: str) -> DataFrame:
     path = f"{shared_root(spark)}/{StageTables.scratch(spark).schema}"
     scores = _event_scores(stream_table(spark, directory, "events"))
-    monitor.stream_trend(scores, path, available_now=True).awaitTermination()
-    return _wall_clock(spark.read.parquet(f"{path}/trend"))
+    monitor.stream_trend(scores, path, period, available_now=True).awaitTermination()
+    return monitor.read_trend(spark, path)
+
+
+@query
+def quality_trend_stream(spark: SparkSession, directory: str) -> DataFrame:
+    """The daily trend kept by a stream, days still open included."""
+    return _wall_clock(_streamed_trend(spark, directory, "1 day"))
+
+
+@query
+def pass_rate_alerts_stream(spark: SparkSession, directory: str) -> DataFrame:
+    """Alerts on the hourly trend that a stream keeps."""
+    trend = _streamed_trend(spark, directory, "1 hour")
+    return _wall_clock(monitor.pass_rate_alerts(trend, ALERT_BELOW))

@@ -21,6 +21,11 @@ EVALUATION = "translation_scores"
 FINAL = "translation_final_v2"
 DATASET = "translation_eval_dataset"
 RUNS = "runs"
+SCORER_METRICS = ("pass_rate", "scored", "passed", "errors")
+COMPARISON_METRICS = (
+    "num_documents", "estimated_total_tokens", "translation_duration_s", "avg_duration_per_doc_s",
+    "tokens_per_second",
+)
 
 
 @dataclass
@@ -81,7 +86,29 @@ class Workflow:
             keep = [F.col(f"inputs.{name}").alias(name) for name in names]
             evaluated = scoring.evaluate(records, chosen, self.inference, keep)
             routed = routing.route(evaluated, [*names, *[s.name for s in chosen]])
-            return self.tables.replace(routed, EVALUATION)
+            scores = self.tables.replace(routed, EVALUATION)
+        self._log_evaluation(scores, [s.name for s in chosen])
+        return scores
+
+    def _log_evaluation(self, scores: DataFrame, scorers: list[str]) -> None:
+        """Parameters of the evaluation and the counts and rates of each scorer."""
+        metrics = scoring.scorer_metrics(scoring.tidy_scores(scores, scorers, []))
+        self._log(
+            "evaluation",
+            {
+                "llm_endpoint": self.settings.endpoints.judge,
+                "num_documents": scores.count(),
+                "pipeline_version": self.settings.pipeline_version,
+            },
+            observe.metric_rows(
+                metrics, self.run_id, F.concat(F.lit("evaluation_"), "scorer"), SCORER_METRICS
+            ),
+        )
+
+    def _log(self, name: str, params: dict[str, object], metrics: DataFrame) -> None:
+        rows = observe.run_rows(self.tables.spark, self.run_id, name, params)
+        self.tables.create_or_load(RUNS, observe.RUNS_SCHEMA)
+        self.tables.append(rows.unionByName(metrics), RUNS)
 
     def finalize(self) -> DataFrame:
         """Translations with status and rationales."""
@@ -120,7 +147,20 @@ class Workflow:
         rates = quality.groupBy("endpoint").pivot(
             "scorer", [scoring.COMPLETENESS, scoring.GUIDELINES]
         ).agg(F.first("pass_rate"))
-        return self.tables.replace(report.join(rates, "endpoint", "left"), "comparison")
+        compared = self.tables.replace(report.join(rates, "endpoint", "left"), "comparison")
+        self._log(
+            "comparison",
+            {
+                "endpoints": ",".join(self.settings.endpoints.comparison),
+                "num_documents": sample.count(),
+                "pipeline_version": self.settings.pipeline_version,
+            },
+            observe.metric_rows(
+                compared, self.run_id, F.concat(F.lit("comparison_"), "endpoint"),
+                [*COMPARISON_METRICS, scoring.COMPLETENESS, scoring.GUIDELINES],
+            ),
+        )
+        return compared
 
     def log_run(self, name: str, documents: int, baseline_s: float | None = None) -> DataFrame:
         """Store this run's parameters and stage times."""

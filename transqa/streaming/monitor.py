@@ -5,7 +5,7 @@ A trace has ``trace_id``, ``ts``, ``inputs`` and ``outputs``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,6 +63,21 @@ def register_monitors(tables: StageTables, monitors: Sequence[Monitor]) -> DataF
     return tables.replace(new, MONITORS)
 
 
+def unregister_monitors(tables: StageTables, names: Sequence[str]) -> DataFrame:
+    """Take monitors off the registry; those that read it stop with their next batch."""
+    return tables.replace(tables.read(MONITORS).where(~F.col("name").isin(list(names))), MONITORS)
+
+
+def registered_monitors(tables: StageTables, scorers: Sequence[Scorer]) -> list[Monitor]:
+    """The registry's monitors at their rates; each needs its scorer among those given."""
+    known = {s.name: s for s in scorers}
+    rows = tables.read(MONITORS).orderBy("name").collect()
+    missing = sorted({r["scorer"] for r in rows} - set(known))
+    if missing:
+        raise ValueError(f"registered monitors need the scorers {', '.join(missing)}")
+    return [Monitor(r["name"], known[r["scorer"]], r["sample_rate"]) for r in rows]
+
+
 def is_sampled(monitor: str, key: Column | str, rate: float) -> Column:
     """Whether a monitor takes a trace: a digest below the rate.
 
@@ -105,8 +120,8 @@ def new_traces(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
 
 
 def start_monitoring(
-    stream: DataFrame, monitors: Sequence[Monitor], inference: Inference | None,
-    path: str, lateness: str = "1 hour", available_now: bool = False,
+    stream: DataFrame, monitors: Sequence[Monitor] | Callable[[], Sequence[Monitor]],
+    inference: Inference | None, path: str, lateness: str = "1 hour", available_now: bool = False,
 ) -> StreamingQuery:
     """Score every new trace as it arrives; traces and scores land under ``path``.
 
@@ -114,15 +129,17 @@ def start_monitoring(
     the stream runs once and scoring works on a table. A batch that is replayed
     overwrites its own folder, and its answers are already stored. Give the inference
     a store with ``reuse_days``, so that a batch does not search all past answers.
+    ``monitors`` may be a function, which is asked anew for every batch.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         place = f"{path}/traces/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(place)
         stored = batch.sparkSession.read.schema(batch.schema).parquet(place)
-        if stored.isEmpty():
+        now = monitors() if callable(monitors) else monitors
+        if not now or stored.isEmpty():
             return
-        scores = score_traces(stored, monitors, inference)
+        scores = score_traces(stored, now, inference)
         scores.write.mode("overwrite").parquet(f"{path}/scores/batch_id={batch_id}")
 
     writer: DataStreamWriter = (
@@ -133,23 +150,42 @@ def start_monitoring(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def start_registered(
+    stream: DataFrame, tables: StageTables, scorers: Sequence[Scorer], inference: Inference | None,
+    path: str, lateness: str = "1 hour", available_now: bool = False,
+) -> StreamingQuery:
+    """Monitor by the registry: every batch is scored by the monitors registered at its time."""
+    return start_monitoring(
+        stream, lambda: registered_monitors(tables, scorers), inference, path, lateness, available_now
+    )
+
+
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/scores")
 
 
 def quality_trend(scores: DataFrame, period: str = "1 day", by: Sequence[str] = ("monitor",)) -> DataFrame:
-    """Pass rate per period; the same plan for a table and for a stream with a watermark.
+    """Pass rate per period.
 
     Adding ``pipeline_version`` to ``by`` compares versions of a model.
     """
-    trend = scores.groupBy(F.window("ts", period), *by).agg(
+    return _with_rate(_period_counts(scores, period, by))
+
+
+def _period_counts(scores: DataFrame, period: str, by: Sequence[str]) -> DataFrame:
+    counts = scores.groupBy(F.window("ts", period), *by).agg(
         F.count("value").alias("scored"),
         F.count_if(F.col("value")).alias("passed"),
     )
-    rate = F.when(F.col("scored") > 0, F.col("passed") / F.col("scored"))
-    return trend.select(
+    return counts.select(
         F.col("window.start").alias("period_start"), F.col("window.end").alias("period_end"),
-        *by, "scored", "passed", rate.alias("pass_rate"),
+        *by, "scored", "passed",
+    )
+
+
+def _with_rate(counts: DataFrame) -> DataFrame:
+    return counts.withColumn(
+        "pass_rate", F.when(F.col("scored") > 0, F.col("passed") / F.col("scored"))
     )
 
 
@@ -160,15 +196,29 @@ def pass_rate_alerts(trend: DataFrame, threshold: float) -> DataFrame:
 
 def stream_trend(
     scores: DataFrame, path: str, period: str = "1 day", by: Sequence[str] = ("monitor",),
-    lateness: str = "1 hour", available_now: bool = False,
+    available_now: bool = False,
 ) -> StreamingQuery:
-    """Keep a trend table up to date; a period is written once it can no longer change."""
-    timed = scores.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
-    writer = (
-        quality_trend(timed, period, by)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{path}/trend")
-        .option("checkpointLocation", f"{path}/trend_checkpoint")
+    """Keep a trend up to date, open periods and late scores included.
+
+    Each micro-batch adds its counts per period, few rows however many scores it has, in a
+    folder of its own that a replay overwrites; ``read_trend`` sums them up. No state is
+    held between batches.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        timed = batch.withColumn("ts", F.col("ts").cast("timestamp"))
+        counts = _period_counts(timed, period, by)
+        counts.write.mode("overwrite").parquet(f"{path}/trend/batch_id={batch_id}")
+
+    writer: DataStreamWriter = scores.writeStream.foreachBatch(handle).option(
+        "checkpointLocation", f"{path}/trend_checkpoint"
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_trend(spark: SparkSession, path: str, by: Sequence[str] = ("monitor",)) -> DataFrame:
+    """The trend of all batches so far; alerts on it cover the open period too."""
+    counts = spark.read.parquet(f"{path}/trend").groupBy("period_start", "period_end", *by).agg(
+        F.sum("scored").alias("scored"), F.sum("passed").alias("passed")
+    )
+    return _with_rate(counts)
