@@ -234,6 +234,33 @@ def test_passages(spark, odd, none):
     assert repeated_passages(none).count() == 0
 
 
+def test_passages_are_whole(spark):
+    """Planted passages of 51 words and more, each between other words: reported from end to end."""
+    random, texts, planted = np.random.default_rng(5), {}, {}
+
+    def other(n):
+        return [f"o{x}" for x in random.integers(0, 10**12, n)]
+
+    for k, size in enumerate([51] * 8 + [60, 80, 200, 400]):
+        part = [f"k{k}w{i}" for i in range(size)] if k else ["ha"] * size
+        for i in (2 * k, 2 * k + 1):
+            front = int(random.integers(0, 60))
+            texts[i], planted[i] = " ".join(other(front) + part + other(40)), (front, front + size)
+    # The second holder shares more of the passage with the third than with the first.
+    part = [f"z{i}" for i in range(90)]
+    texts |= {100: " ".join(other(9) + part[20:75] + other(9)), 101: " ".join(part + other(40)), 102: " ".join(other(40) + part)}
+    texts[103], texts[104] = "ha " * 300 + "end", "go " + "ha " * 200
+    got = {r.doc_id: r for r in repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    for i, (a, b) in planted.items():
+        assert got[i].n_shared == b - a, i
+        assert got[i].removed == (f"{a}:{b}" if i % 2 else ""), i
+        assert got[i].kept_in == ([i - 1] if i % 2 else [])
+    assert (got[100].n_shared, got[100].n_removed) == (55, 0)
+    assert (got[101].n_shared, got[101].removed) == (90, "20:75")
+    assert (got[102].n_shared, got[102].removed, got[102].kept_in) == (90, "40:130", [100, 101])
+    assert (got[103].n_shared, got[104].n_shared) == (300, 200)
+
+
 def test_warc_round_trip(spark):
     page = "<p>" + "é" * 80 + "</p>"
     data = [(3, "http://a/b c\n", page), (1, None, page), (2, "http://x", "short"), (4, "http://x", "short"), (5, "u", None),

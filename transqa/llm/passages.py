@@ -4,7 +4,9 @@ Paragraphs are of two kinds. The lines of a text with ``LINE`` words and more; a
 passages may begin anywhere, floating paragraphs of ``FLOAT`` words, begun where a
 hash of the next five words is the smallest among ``REACH`` neighbouring starts. Any passage
 of ``FLOAT + REACH - 1`` = 51 words holds such a start together with its paragraph whatever surrounds
-it, so equal passages of over 50 words always share one. Equal paragraphs meet by hash. Similar lines
+it, so equal passages of over 50 words always share one. Equal paragraphs meet by hash. Floating ones
+that met are then extended to both sides as far as any other document goes along: the first and the last start
+of a passage, and any two between, lie so close that ``REACH - 1`` words a side reach its ends. Similar lines
 meet by MinHash of their five-word shingles in ``BANDS`` bands of ``ROWS`` minima, tuned to
 find a pair at Jaccard 0.8 with probability 0.998; every pair of a bucket is then checked
 exactly, unless its two lines are joined already.
@@ -39,8 +41,8 @@ def repeated_passages(docs: DataFrame, per_cent: int = SIMILARITY, id_col: str =
     their sets of five-word windows have a Jaccard similarity of ``per_cent`` or more.
 
     Returns one row per id: id, n_words (of the document), n_shared (its words in paragraphs that
-    another document holds), n_removed (those of them in paragraphs that a document of a smaller id
-    holds), removed (word ranges start:end, merged, comma-joined), kept_in (the ids of the
+    another document holds, floating ones extended to the ends of the equal run), n_removed (those
+    of them that a document of a smaller id holds, likewise), removed (word ranges start:end, merged, comma-joined), kept_in (the ids of the
     documents that hold the first copies). The first copy stays. Repeats within one
     document alone are no finding. Rows without an id are left out; rows of one
     id count as one document and give one row. Null, empty and short texts have no finding.
@@ -57,7 +59,10 @@ def repeated_passages(docs: DataFrame, per_cent: int = SIMILARITY, id_col: str =
         F.min("first").alias("lo"), F.max("last").alias("hi"))
     shared = told.join(grouped, "component", "left").select(
         "h", F.coalesce("lo", "first").alias("lo"), F.coalesce("hi", "last").alias("hi")).where("lo < hi")
-    hits = found.where("h IS NOT NULL").join(shared.hint("merge"), "h").select("id", "start", "stop", "lo")
+    hits = stored(found.where("h IS NOT NULL").join(shared.hint("merge"), "h").select(
+        "id", "start", "stop", "lo", "h", "line"), "hits")
+    longer = _extended(source, hits.where("NOT line").select("id", "start", "h"))
+    hits = hits.select("id", "start", "stop", "lo").unionByName(longer)
     # Equal ids of a document fold into one row of fixed size per range before ranges are merged.
     per = hits.groupBy("id").agg(
         F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("all_"),
@@ -135,8 +140,11 @@ def _floating(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
     least = np.where(inside > 0, least, 0)
     chosen = _slide(least, REACH, np.maximum)
     taken = (chosen == value) & (left >= FLOAT)
-    taken[1:] &= ~((value[1:] == value[:-1]) & taken[:-1])
-    return np.flatnonzero(taken)
+    # Of equal neighbours, as in one word said over and over, every FLOAT-th is taken.
+    again = np.zeros(n, bool)
+    again[1:] = (value[1:] == value[:-1]) & taken[1:] & taken[:-1]
+    place = np.arange(n)
+    return np.flatnonzero(taken & ((place - np.maximum.accumulate(np.where(again, 0, place))) % FLOAT == 0))
 
 
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,6 +168,66 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["id", "words", "start", "stop", "h", "line"])
 
 
+def _extended(source: DataFrame, floats: DataFrame) -> DataFrame:
+    """(id, start, stop, lo): the shared floating paragraphs with the words to their left or right
+    that another document, and that one of a smaller id, has there too; lo is the smallest such id.
+
+    The hash of a longer range is met like that of a paragraph. Where all occurrences have
+    the same surroundings, one look at the longest range is enough. Else each different
+    longest range, not each occurrence, looks up the lengths below it.
+    """
+    wanted = floats.groupBy("id").agg(F.collect_set(F.struct("start", "h")).alias("at"))
+    around = stored(source.join(wanted.hint("merge"), "id").mapInArrow(
+        _surroundings, "id long, start int, h long, right boolean, full long, keys array<long>"), "around")
+    seen = around.groupBy("h", "right").agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("full").alias("x"), F.max("full").alias("y")).where("lo < hi")
+    told = around.withColumn("k", F.size("keys")).drop("keys").join(seen.hint("merge"), ["h", "right"])
+    plain = told.where("x = y").select("id", "start", "right", "k", "lo")
+    open_ = stored(around.join(seen.where("x < y").select("h", "right").hint("merge"), ["h", "right"], "left_semi"), "open_floats")
+    kinds = stored(open_.groupBy("right", "full").agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.first("keys").alias("keys")), "surroundings")
+    steps = kinds.select("right", "full", "lo", "hi", F.posexplode("keys").alias("k", "key"))
+    met = steps.groupBy("right", "key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi")
+    reach = steps.select("right", "full", "k", "key").join(met.hint("merge"), ["right", "key"]).groupBy("right", "full").agg(
+        F.collect_list(F.struct((F.col("k") + 1).alias("k"), "lo")).alias("reach"))
+    best = open_.select("id", "start", "right", "full").join(reach.hint("merge"), ["right", "full"]).select(
+        "id", "start", "right", F.explode(F.array(
+            F.array_max("reach"), F.array_max(F.filter("reach", lambda x: x["lo"] < F.col("id"))))).alias("r")
+    ).where("r IS NOT NULL").select("id", "start", "right", "r.k", "r.lo")
+    return plain.unionByName(best).select(
+        "id", F.when(F.col("right"), F.col("start")).otherwise(F.col("start") - F.col("k")).alias("start"),
+        (F.col("start") + FLOAT + F.when(F.col("right"), F.col("k")).otherwise(0)).alias("stop"), "lo")
+
+
+def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per paragraph and side the hashes of the ranges that are longer by 1, 2 ... words."""
+    steps = np.arange(1, REACH)
+    for batch in batches:
+        for first, data, bounds in sh.slices(batch["text"]):
+            hashes, _, _, rows = sh.words(data, bounds)
+            at = batch["at"].slice(first, len(bounds) - 1)
+            doc = np.repeat(np.arange(len(at)), at.value_lengths().to_numpy(zero_copy_only=False))
+            own, h = (x.to_numpy(zero_copy_only=False) for x in at.flatten().flatten())
+            ids = batch["id"].slice(first, len(bounds) - 1).to_numpy()
+            start = rows[doc] + own
+            # Another text of the same id need not hold the paragraph there.
+            fits = np.flatnonzero(start + FLOAT <= rows[doc + 1])
+            fits = fits[_range_hashes(hashes, start[fits], start[fits] + FLOAT).view(np.int64) == h[fits]]
+            start, doc, own, h = start[fits], doc[fits], own[fits], h[fits]
+            for right in (False, True):
+                room = np.minimum(rows[doc + 1] - start - FLOAT if right else start - rows[doc], REACH - 1)
+                some = np.flatnonzero(room)
+                inside = steps <= room[some, None]
+                lo = np.broadcast_to(start[some, None], inside.shape) - (0 if right else steps)
+                hi = np.broadcast_to(start[some, None] + FLOAT, inside.shape) + (steps if right else 0)
+                keys = _range_hashes(hashes, lo[inside], hi[inside])
+                ends = np.concatenate([[0], np.cumsum(room[some])])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(ids[doc[some]]), pa.array(own[some].astype(np.int32)), pa.array(h[some]),
+                    pa.array(np.full(len(some), right)), sh.signed(keys[ends[1:] - 1]), sh.lists(keys, ends)],
+                    ["id", "start", "h", "right", "full", "keys"])
+
+
 def _line_sets(data: np.ndarray, bounds: np.ndarray):
     """Hash and distinct shingles of every line."""
     hashes, starts, _, rows = sh.words(data, bounds)
