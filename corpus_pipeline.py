@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from transqa.llm.common import read, stored, tokenizer_file
 from transqa.llm.minhash import near_duplicates
 from transqa.llm.mixing import mixed_documents
-from transqa.llm.quality import judged_quality
+from transqa.llm.quality import joint_cutoffs, judged_quality
 from transqa.llm.secrets import redacted
 from transqa.llm.sentencepiece import Model, encoded
 from transqa.session import ship_package
@@ -20,9 +20,9 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the base or a certified rule rejects."""
+    """Drop the documents that the base or the rules, certified jointly, reject."""
     ship_package(spark)
-    verdict = judged_quality(docs, read(spark, sf_dir, "labels"))
+    verdict = judged_quality(docs, read(spark, sf_dir, "labels"), certify=joint_cutoffs)
     good = verdict.where("kept").select(F.col("doc_id").alias("good_id")).distinct()
     return docs.join(good, docs["doc_id"].eqNullSafe(F.col("good_id")), "left_semi")
 

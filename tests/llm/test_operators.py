@@ -190,6 +190,26 @@ def test_cutoffs_hold_their_risk(spark):
     assert quality.cutoffs(measured.limit(300), labels).count() == 0
 
 
+def test_joint_cutoffs_reach_small_strata(spark):
+    """475 good labels certify their own stratum, 130 and 160 a common one, a harmful rule nothing."""
+    sizes, data, marks = {"de": 475, "es": 160, "it": 130, "xx": 600}, [], []
+    for lang, n in sizes.items():
+        for k in range(n + 60):
+            bad, at = k >= n, len(data)
+            data.append((at, lang, 100, 500, 90 if bad or (lang == "xx" and k % 8 == 0) else 0, 0, 0, 5, 0))
+            marks.append((at, 0 if bad else 1))
+    labels = spark.createDataFrame(marks + [(10**6, 1), (None, 0)], "doc_id long, quality int")
+    measured = spark.createDataFrame(data, "doc_id long, stratum string, n_words long, word_chars long, n_symbols long, "
+                                           "n_dup_lines long, n_repeat_words long, n_lines long, n_capitals long")
+    assert quality.cutoffs(measured, labels).count() == 0
+    got = {r.stratum: r for r in quality.joint_cutoffs(measured.where("stratum <> 'xx'"), labels).collect()}
+    assert {(s, r.rule, r.cutoff, r.lost) for s, r in got.items()} == {(s, "symbols_per_word", 0.5, 0) for s in ("de", "es", "it")}
+    assert got["es"].good == got["it"].good < 290 and got["de"].good < 475
+    assert quality.joint_cutoffs(measured.where("stratum = 'xx'"), labels).count() == 0
+    assert quality.joint_cutoffs(measured.where("stratum = 'it'"), labels).count() == 0
+    assert quality.joint_cutoffs(measured, labels.limit(0)).count() == 0
+
+
 ASSIGN = re.compile(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 
 

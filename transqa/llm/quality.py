@@ -7,7 +7,13 @@ true rate above the rule's share of ``risk``, stays below ``error`` divided by t
 rules and strata (Bonferroni across them; a fixed sequence along the cutoffs needs no
 more). So with probability 1 - error no stratum loses more than ``risk`` of its good
 documents to all rules together. Among the certified cutoffs the one with the most
-labelled bad documents per good one lost is taken. DataFrame functions only.
+labelled bad documents per good one lost is taken.
+
+That share is small, so it takes about 1,500 good labels in a stratum to certify anything. Jointly
+(``joint_cutoffs``) every fifth labelled document chooses a cutoff per rule and the order of the rules, and the
+others test what the first rules of that order reject together, at the whole ``risk`` and ``error`` per group.
+Strata of too few labels to certify even a loss of nothing are one group: for them the promise
+holds for all their good documents taken together, not for each. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -30,6 +36,8 @@ RULES = {
 RISK, ERROR = 0.02, 0.05
 #: Labelled bad documents that a rule must catch for each good one it costs.
 WORTH = 10
+#: One labelled document in so many chooses the cutoffs of the joint test.
+FOLDS = 5
 _INDEX_BITS = 24
 
 
@@ -174,11 +182,66 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: f
     )
 
 
+def joint_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR,
+                  worth: int = WORTH) -> DataFrame:
+    """The cutoffs whose joint rejection is certified, per stratum, from the same tables as ``cutoffs``.
+
+    Returns (stratum, rule, cutoff, good, lost, caught), the counts being those of all rules of its group
+    together. Strata without labelled documents have none.
+    """
+    judged = measured.where(~_base_failed()).join(
+        labels.where("quality IN (0, 1)").select("doc_id", "quality").distinct(), "doc_id")
+    rates = _rates()
+    judged = judged.select(
+        "stratum", "quality", (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) == 0).alias("choosing"),
+        F.struct(*[rate.alias(rule) for rule, rate in rates.items()]).alias("rates"))
+    tests = F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.lit(turn).alias("turn"), F.lit(float(cut)).alias("cutoff"),
+                 (F.col("rates")[rule] > cut).cast("int").alias("hit"))
+        for rule, cuts in RULES.items() for turn, cut in enumerate(cuts)])
+    best = Window.partitionBy("rule").orderBy(F.desc("gain"), "turn")
+    plan = (
+        judged.where("choosing").select("quality", F.explode(tests).alias("t")).groupBy("t.rule", "t.turn", "t.cutoff")
+        .agg(F.sum(F.when(F.col("quality") == 0, F.col("t.hit")).otherwise(-worth * F.col("t.hit"))).alias("gain"))
+        .where("gain > 0").withColumn("rank", F.row_number().over(best)).where("rank = 1")
+        .agg(F.sort_array(F.collect_list(F.struct((-F.col("gain")).alias("order"), "rule", "cutoff"))).alias("plan"))
+    )
+    hits = F.transform("plan", lambda x: F.coalesce(*[
+        F.when(x["rule"] == rule, F.col("rates")[rule] > x["cutoff"]) for rule in rates]))
+    steps = judged.where("NOT choosing").crossJoin(plan).withColumn("first", F.array_position(hits, F.lit(True))).select(
+        "stratum", "quality", "plan", "first", F.explode(F.sequence(F.lit(1), F.size("plan"))).alias("step")
+    ).where("step <= size(plan)")
+    hit = ((F.col("first") > 0) & (F.col("first") <= F.col("step"))).cast("int")
+    per = steps.groupBy("stratum", "step").agg(
+        F.first("plan").alias("plan"),
+        F.sum(F.when(F.col("quality") == 1, 1).otherwise(0)).cast("int").alias("good"),
+        F.sum(F.when(F.col("quality") == 1, hit).otherwise(0)).cast("int").alias("lost"),
+        F.sum(F.when(F.col("quality") == 0, hit).otherwise(0)).cast("int").alias("caught"))
+    # Groups hang on the number of labels alone, and there are never more of them than strata.
+    level = F.lit(error) / F.size(F.collect_set("stratum").over(Window.partitionBy()))
+    per = per.withColumn("level", level).withColumn("small", F.pow(F.lit(1 - risk), "good") > F.col("level"))
+    group = [F.col("small"), F.when(~F.col("small"), F.col("stratum"))]
+    together = Window.partitionBy(*group, "step")
+    for count in ("good", "lost", "caught"):
+        per = per.withColumn(f"all_{count}", F.sum(count).over(together).cast("int"))
+    best = Window.partitionBy("stratum").orderBy(F.desc("gain"), "step")
+    return (
+        per.withColumn("passed", (binomial_tail(F.col("all_good"), F.col("all_lost"), risk) <= F.col("level")).cast("int"))
+        .withColumn("certified", F.min("passed").over(Window.partitionBy("stratum").orderBy("step")))
+        .withColumn("gain", F.col("all_caught") - worth * F.col("all_lost")).where("certified = 1 AND gain > 0")
+        .withColumn("rank", F.row_number().over(best)).where("rank = 1")
+        .select("stratum", F.explode(F.slice("plan", 1, F.col("step"))).alias("t"),
+                F.col("all_good").alias("good"), F.col("all_lost").alias("lost"), F.col("all_caught").alias("caught"))
+        .select("stratum", "t.rule", "t.cutoff", "good", "lost", "caught")
+    )
+
+
 def judged_quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR,
-                   id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
+                   certify=cutoffs) -> DataFrame:
     """Which documents pass the base and the certified rules.
 
-    Returns one row per input row: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+    ``certify`` is ``cutoffs`` or ``joint_cutoffs``. Returns one row per input row: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, and the rule that rejected it, if one did. Null and
     empty texts fail the base. A null stratum is a stratum of its own. Labels of other
     values than 0 and 1, of unknown or null ids count for nothing; without labels only the
@@ -186,7 +249,7 @@ def judged_quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, error
     ignored; an empty table gives no rows.
     """
     measured = stored(features(docs, id_col, text_col, stratum_col), "features")
-    chosen = cutoffs(measured, labels, risk, error).groupBy("stratum").agg(*[
+    chosen = certify(measured, labels, risk, error).groupBy("stratum").agg(*[
         F.max(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"cut_{rule}") for rule in RULES])
     hits = F.coalesce(*[
         F.when(rate > F.col(f"cut_{rule}"), F.lit(rule)) for rule, rate in _rates().items()])
