@@ -20,18 +20,32 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the base or the rules, certified jointly, reject."""
+    """Drop the documents that the base or the rules, certified jointly, reject.
+
+    Verdicts hang on text and language, and are joined back by these: an id may be null or shared.
+    """
     ship_package(spark)
-    verdict = judged_quality(docs, read(spark, sf_dir, "labels"), certify=joint_cutoffs)
-    good = verdict.where("kept").select(F.col("doc_id").alias("good_id")).distinct()
-    return docs.join(good, docs["doc_id"].eqNullSafe(F.col("good_id")), "left_semi")
+    own = F.xxhash64("doc_id", "text", "lang")
+    verdict = judged_quality(docs, read(spark, sf_dir, "labels"), certify=joint_cutoffs, own=own)
+    good = verdict.where("kept").select("own").distinct()
+    return docs.withColumn("own", own).join(good, "own", "left_semi").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates, the one of the smallest id."""
+    """Keep one document of each group of near duplicates, the one of the smallest id.
+
+    Texts are grouped by themselves, whatever their ids: of rows of one id and text one
+    stays, rows of one id with different texts are different documents, and a document without an id stays if no
+    other of its group has one.
+    """
     ship_package(spark)
-    dropped = near_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    own = docs.withColumn("own", F.xxhash64("doc_id", "text"))
+    groups = near_duplicates(own, id_col="own").select("own", "component_id").distinct()
+    ids = own.select("own", "doc_id").distinct()
+    first = groups.join(ids, "own").groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")).alias("first"))
+    kept = stored(first.select("first.own"), "kept")
+    return own.dropDuplicates(["own"]).join(kept, "own", "left_semi").select(*docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

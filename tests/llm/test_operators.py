@@ -431,3 +431,21 @@ def test_links_of_a_run_form_a_forest():
         old, new = group[a], group[b]
         group = {i: new if g == old else g for i, g in group.items()}
     assert len(set(group.values())) == 1
+
+
+def test_pipeline_decides_rows_by_their_own_text(spark):
+    """Rows without an id or sharing one, of good, bad and repeated texts."""
+    import corpus_pipeline
+
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(80))
+
+    data = [(None, text("a")), (None, "bad"), (None, text("b")), (None, text("b")), (5, text("c")), (5, "worse"),
+            (5, text("c")), (5, text("d")), (7, text("e")), (3, text("e") + " more"), (None, text("e"))]
+    docs = spark.createDataFrame([(i, t, "en", None, len(t)) for i, t in data],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    good = corpus_pipeline.quality_rules(spark, docs, "/root/testdata/sf0.001")
+    assert sorted(r.text for r in good.collect()) == sorted(t for _, t in data if len(t) > 9)
+    left = corpus_pipeline.near_dedup(spark, good, "/root/testdata/sf0.001")
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(
+        [data[0], data[2], data[4], data[7], data[9]], key=repr)

@@ -42,8 +42,8 @@ _INDEX_BITS = 24
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             stratum_col: str = "lang") -> DataFrame:
-    """Counts over each whole text (null: empty), one row per input row."""
+             stratum_col: str = "lang", **extra: Column) -> DataFrame:
+    """Counts over each whole text (null: empty), one row per input row; ``extra`` columns stay with it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
@@ -58,10 +58,11 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         let(lines, lambda x: F.struct(
             F.size(x).cast("long").alias("n_lines"),
             (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))).alias("l"),
+        *[column.alias(name) for name, column in extra.items()],
     )
     return counted.select(
         "doc_id", "stratum", "w.n_words", "w.word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words",
-        "l.n_lines", "n_capitals")
+        "l.n_lines", "n_capitals", *extra)
 
 
 def _count(text: Column, others: str) -> Column:
@@ -238,24 +239,24 @@ def joint_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, er
 
 def judged_quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR,
                    id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
-                   certify=cutoffs) -> DataFrame:
+                   certify=cutoffs, **extra: Column) -> DataFrame:
     """Which documents pass the base and the certified rules.
 
     ``certify`` is ``cutoffs`` or ``joint_cutoffs``. Returns one row per input row: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, and the rule that rejected it, if one did. Null and
-    empty texts fail the base. A null stratum is a stratum of its own. Labels of other
+    empty texts fail the base. ``extra`` columns over ``docs`` are returned with their row. A null stratum is a stratum of its own. Labels of other
     values than 0 and 1, of unknown or null ids count for nothing; without labels only the
     base decides. Rows that share an id are judged each by its own text. Extra columns are
     ignored; an empty table gives no rows.
     """
-    measured = stored(features(docs, id_col, text_col, stratum_col), "features")
+    measured = stored(features(docs, id_col, text_col, stratum_col, **extra), "features")
     chosen = certify(measured, labels, risk, error).groupBy("stratum").agg(*[
         F.max(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"cut_{rule}") for rule in RULES])
     hits = F.coalesce(*[
         F.when(rate > F.col(f"cut_{rule}"), F.lit(rule)) for rule, rate in _rates().items()])
     return measured.join(chosen, "stratum", "left").withColumn("rule", hits).select(
         F.col("doc_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        _base_failed().alias("base_failed"), (~_base_failed() & F.col("rule").isNull()).alias("kept"), "rule")
+        _base_failed().alias("base_failed"), (~_base_failed() & F.col("rule").isNull()).alias("kept"), "rule", *extra)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
