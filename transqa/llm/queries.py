@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from transqa.llm.chat import op11_chat_format
 from transqa.llm.embeddings import OP2_SQL, op2_embedding_near_dedup
 from transqa.llm.minhash import op5_minhash_near_dedup
 from transqa.llm.mixing import OP3_SQL, op3_mixing
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_warc": op9_warc,
     "op10_token_planes": op10_token_planes,
+    "op11_chat_format": op11_chat_format,
 }
 ORACLES = {
     "op2_embedding_near_dedup": OP2_SQL,
