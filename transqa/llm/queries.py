@@ -8,6 +8,7 @@ from transqa.llm.minhash import op5_minhash_near_dedup
 from transqa.llm.mixing import OP3_SQL, op3_mixing
 from transqa.llm.passages import op8_substring_dedup
 from transqa.llm.quality import OP6_SQL, op6_quality_rules
+from transqa.llm.search import OP12_SQL, op12_lexical_search
 from transqa.llm.secrets import op7_secret_scans
 from transqa.llm.sentencepiece import op1_sentencepiece
 from transqa.llm.sharding import op4_sharding
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_token_planes": op10_token_planes,
     "op11_chat_format": op11_chat_format,
+    "op12_lexical_search": op12_lexical_search,
 }
 ORACLES = {
     "op2_embedding_near_dedup": OP2_SQL,
     "op3_mixing": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
     "op9_warc": OP9_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
