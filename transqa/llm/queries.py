@@ -8,6 +8,7 @@ from transqa.llm.minhash import op5_minhash_near_dedup
 from transqa.llm.mixing import OP3_SQL, op3_mixing
 from transqa.llm.passages import op8_substring_dedup
 from transqa.llm.quality import OP6_SQL, op6_quality_rules
+from transqa.llm.repair import op13_conversation_repair
 from transqa.llm.search import OP12_SQL, op12_lexical_search
 from transqa.llm.secrets import op7_secret_scans
 from transqa.llm.sentencepiece import op1_sentencepiece
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_token_planes": op10_token_planes,
     "op11_chat_format": op11_chat_format,
     "op12_lexical_search": op12_lexical_search,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES = {
     "op2_embedding_near_dedup": OP2_SQL,
