@@ -1,8 +1,8 @@
 """Ranked lexical search by per-term geometric blocking.
 
-Index. Every document (a row; rows may repeat an id) gets a private key. Documents are ordered by two
-MinHash values of their term sets, so that documents sharing rare terms sit together, and cut into
-blocks of ``block`` consecutive documents. A posting is (block, key, term, impact), where the impact is
+Index. Every document (a row; rows may repeat an id) gets a private key. Documents are put into
+blocks by the MinHash of their term sets (the least term hash, in about rows / ``block`` buckets), so
+that documents sharing much of their vocabulary sit together. A posting is (block, key, term, impact), where the impact is
 the document's exact integer contribution for that term (weight times saturated frequency); postings of
 impact 0 contribute nothing and are left out. A block's summary is the coordinatewise maximum of its
 documents' impact vectors: one (block, term, bound) row per term present in the block.
@@ -58,29 +58,27 @@ class Index:
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> Index:
     spark = docs.sparkSession
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tokens = stored(docs.select(
+    # Blocks are buckets of the documents' MinHash: documents whose least term hash is equal (likely
+    # when their term sets overlap much) share a block; about ``block`` documents a block on average.
+    n_blocks = max(1, docs.count() // block)
+    counted = stored(docs.select(
         F.monotonically_increasing_id().alias("key"),
         F.col(id_col).cast("long").alias("doc_id"),
         terms(F.col(text_col)).alias("terms"),
     ).where(F.size("terms") > 0).select(
-        "key", "doc_id", "terms", F.size("terms").cast("long").alias("n"),
-        F.array_min(F.transform("terms", lambda t: F.xxhash64(t))).alias("h1"),
-        F.array_min(F.transform("terms", lambda t: F.xxhash64(t, F.lit("second")))).alias("h2"),
-    ), "search_tokens")
-    totals = tokens.agg(F.count(F.lit(1)).alias("N"), F.sum("n").alias("L")).first()
-    n_docs, length = int(totals["N"]), int(totals["L"] or 0)
-
-    # Similar documents next to each other, then blocks of consecutive ones.
-    shift = (block - 1).bit_length()
-    blocks = stored(tokens.select("key", "h1", "h2").repartitionByRange("h1", "h2", "key")
-                    .sortWithinPartitions("h1", "h2", "key")
-                    .select("key", F.shiftright(F.monotonically_increasing_id(), shift).alias("block")), "search_blocks")
-
-    counted = (tokens.join(blocks, "key")
-               .select("block", "key", "doc_id", "n", F.explode("terms").alias("term"))
-               .groupBy("block", "key", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
-               .withColumn("salt", F.col("key") % salts))
-    partial = counted.groupBy("term", "salt").agg(F.count(F.lit(1)).alias("c"))
+        "key", "doc_id", F.size("terms").cast("long").alias("n"),
+        F.pmod(F.array_min(F.transform("terms", lambda t: F.xxhash64(t))), F.lit(n_blocks)).alias("block"),
+        F.array_min("terms").alias("least"), F.explode("terms").alias("term"),
+    ).groupBy("block", "key", "doc_id", "n", "term").agg(
+        F.count(F.lit(1)).alias("tf"), F.max(F.col("term") == F.col("least")).alias("lead"),
+    ).withColumn("salt", F.col("key") % salts), "search_counted")
+
+    # Term statistics in two levels, so that a term of every document spreads over all salts.
+    partial = stored(counted.groupBy("term", "salt").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("tf").alias("tfs"), F.sum(F.col("lead").cast("long")).alias("leads")),
+        "search_partial")
+    totals = partial.agg(F.sum("leads").alias("N"), F.sum("tfs").alias("L")).first()
+    n_docs, length = int(totals["N"] or 0), int(totals["L"] or 0)
     frequency = partial.groupBy("term").agg(F.sum("c").alias("df"))
     salted = partial.join(frequency, "term").select("term", "salt", "df")
 
