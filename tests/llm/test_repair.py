@@ -115,3 +115,14 @@ def test_long_conversation():
 
 def test_empty_table(spark):
     assert repaired(spark.createDataFrame([], ROWS)).count() == 0
+
+
+def test_query_matches_plain(spark):
+    import duckdb
+
+    from transqa.llm.repair import op13_conversation_repair
+
+    sf = "/root/testdata/sf0.001"
+    rows = duckdb.sql(f"select conv_id, turn, role, text from '{sf}/conversations.parquet'").fetchall()
+    got = {r.conv_id: tuple(r)[:8] for r in op13_conversation_repair(spark, sf).collect()}
+    assert got == plain(rows)
