@@ -66,9 +66,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col).cast("long").alias("doc_id"),
         terms(F.col(text_col)).alias("terms"),
     ).where(F.size("terms") > 0).select(
-        "key", "doc_id", F.size("terms").cast("long").alias("n"),
+        # Per document, before the explode: beside it these would be evaluated once per term.
+        "key", "doc_id", "terms", F.size("terms").cast("long").alias("n"),
         F.pmod(F.array_min(F.transform("terms", lambda t: F.xxhash64(t))), F.lit(n_blocks)).alias("block"),
-        F.array_min("terms").alias("least"), F.explode("terms").alias("term"),
+        F.array_min("terms").alias("least"),
+    ).select(
+        "key", "doc_id", "n", "block", "least", F.explode("terms").alias("term"),
     ).groupBy("block", "key", "doc_id", "n", "term").agg(
         F.count(F.lit(1)).alias("tf"), F.max(F.col("term") == F.col("least")).alias("lead"),
     ).withColumn("salt", F.col("key") % salts), "search_counted")
