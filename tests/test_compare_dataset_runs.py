@@ -131,7 +131,7 @@ def test_spans_of_a_hot_call_are_complete(spark, counting, inference):
     df = docs(spark, ["same" if i % 3 else str(i) for i in range(90)])
     tasks = [translate.translate_task(SETTINGS)]
     hot = run.answer(df, tasks)
-    assert hot.keys
+    assert hot.table.count() >= 1
     spans = observe.call_spans(df, tasks, run.store, "doc_id", "v2", hot)
     assert spans.count() == 90 and spans.select("trace_id").distinct().count() == 90
 

@@ -1,3 +1,4 @@
+import re
 from dataclasses import replace
 from datetime import datetime
 
@@ -139,7 +140,8 @@ def test_hot_calls_are_spread_and_complete(spark, counting, inference, tasks, at
     run = inference(calls, hot_rows=50)
     chosen = [shout(), Task("head", "h", F.substring("text", 1, 1), "head")][:tasks]
     hot = run.answer(df, chosen)
-    assert len(hot.keys) >= 1 and hot.salts == 8
+    found = hot.table.collect()
+    assert len(found) >= 1 and max(r.salts for r in found) == 8
     result = run.run(df, chosen)
     assert "_salt" in result._jdf.queryExecution().optimizedPlan().toString()
     assert answers(result) == [f"e:say {t}" for t in texts]
@@ -150,6 +152,24 @@ def test_hot_calls_are_spread_and_complete(spark, counting, inference, tasks, at
     assert parts > 1
 
 
+@pytest.mark.parametrize("tasks", [1, 2])
+def test_thousands_of_hot_calls_stay_off_the_driver(spark, counting, inference, tasks):
+    # 2,000 calls each shared by 3 rows, all of them hot at hot_rows=3.
+    texts = [f"t{i % 2000}" for i in range(6000)]
+    df = docs(spark, texts)
+    run = inference(counting(), hot_rows=3)
+    chosen = [shout(), Task("head", "h", F.substring("text", 1, 2), "head")][:tasks]
+    hot = run.answer(df, chosen)
+    assert hot.table.count() == 2000 + (tasks == 2) * 10  # heads t0 to t9
+    result = run.run(df, chosen)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    # Hot keys come from a table by a join, not as literal digests in the plan.
+    assert "_salts" in plan and not re.search(r"[0-9a-f]{64}", plan)
+    assert answers(result) == [f"e:say {t}" for t in texts]
+    if tasks == 2:
+        assert answers(result, "head") == [f"h:{t[:2]}" for t in texts]
+
+
 def test_repeated_answers_do_not_repeat_rows(spark, counting, inference):
     run = inference(counting())
     df = docs(spark, ["a", "b"])

@@ -24,11 +24,11 @@ from functools import reduce
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transqa.functions.text import col
-from transqa.operators.joins import any_of, spread_left_join
+from transqa.operators.joins import salts_for, spread_left_join
 from transqa.sources.tables import StageTables
 
 ANSWER_TYPE = "struct<answer:string,error:string>"
@@ -89,13 +89,15 @@ def call_key(task: Column | str, endpoint: Column | str, prompt: Column | str) -
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Calls that very many rows share; ``salts`` is how far each is spread."""
+    """Calls that very many rows share, as a narrow table ``(key, salts)``.
 
-    keys: tuple[str, ...] = ()
-    salts: int = 1
+    The table is written by the job that finds distinct prompts and read by the joins
+    that attach answers; no key passes through the driver. With ``rows`` rows a call
+    at least, there are at most rows / ``rows`` of them.
+    """
 
-    def has(self, key: Column) -> Column | None:
-        return any_of(key, self.keys) if self.keys else None
+    table: DataFrame | None = None
+    rows: int = 200_000
 
 
 @dataclass(frozen=True)
@@ -185,41 +187,43 @@ class Inference:
     def answer(self, df: DataFrame, tasks: Sequence[Task]) -> HotKeys:
         """Call the model for prompts that have no good answer yet.
 
-        The calls shared by many rows are noted on the way, in the same job.
+        One job finds the distinct prompts, counts the rows behind each and marks those
+        with a good answer; it is written once, partitioned by whether a call is pending
+        and by round, with texts of pending prompts only. The calls shared by many rows
+        are then read from it as a narrow table, and each round reads its own files.
         """
-        seen = Observation()
-        prompts = self._pending(df, tasks, seen)
-        if self.rounds == 1:
-            self.store.append(self._call(self._spread(prompts)))
-            return self._hot_keys(seen)
-        # The pending prompts are written once, by round, so that each round prunes
-        # to its own files instead of scanning the documents again.
-        stage = f"{self.store.table}_pending"
-        pending = self.store.tables.replace(
-            prompts.withColumn("round", F.pmod(F.xxhash64("key"), F.lit(self.rounds)).cast("int")),
-            stage,
-            ("round",),
+        stage = f"{self.store.table}_prompts"
+        written = self.store.tables.replace(self._marked(df, tasks), stage, ("pending", "round"))
+        hot = self.store.tables.replace(
+            written.where("hot").select("key", salts_for(F.col("copies"), self.hot_rows).alias("salts")),
+            f"{self.store.table}_hot",
         )
         for number in range(self.rounds):
-            batch = pending.where(F.col("round") == number).drop("round")
-            self.store.append(self._call(self._spread(batch)))
+            batch = written.where(F.col("pending") & (F.col("round") == number))
+            self.store.append(self._call(self._spread(batch.select("key", "task", "endpoint", "prompt"))))
         self.store.tables.drop(stage)
-        return self._hot_keys(seen)
+        return HotKeys(hot, self.hot_rows)
 
     def unanswered(self, df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
         """Distinct prompts still to be sent, as they are spread for calling."""
-        return self._spread(self._pending(df, tasks, Observation()))
+        pending = self._marked(df, tasks).where("pending").select("key", "task", "endpoint", "prompt")
+        return self._spread(pending)
 
-    def _pending(self, df: DataFrame, tasks: Sequence[Task], seen: Observation) -> DataFrame:
-        """Distinct prompts without a good answer.
+    def _marked(self, df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
+        """Distinct prompts, whether each is pending, hot, and its round.
 
-        The anti join finds both sides partitioned by key: only digests of the
-        stored answers are shuffled for it.
+        Both sides of the join are partitioned by key: only digests of the stored
+        answers are shuffled for it. Answered prompts keep no text.
         """
-        hot = F.when(F.col("copies") >= self.hot_rows, F.struct("copies", "key"))
-        prompts = distinct_prompts(df, tasks).observe(seen, F.collect_list(hot).alias("hot"))
         good = self.store.for_tasks(tasks).where(F.col("error").isNull())
-        return prompts.drop("copies").join(good.select("key"), "key", "left_anti")
+        answered = good.select("key").distinct().withColumn("answered", F.lit(True))
+        pending = F.col("answered").isNull()
+        return distinct_prompts(df, tasks).join(answered, "key", "left").select(
+            "key", "task", "endpoint", F.when(pending, F.col("prompt")).alias("prompt"), "copies",
+            (F.col("copies") >= self.hot_rows).alias("hot"),
+            pending.alias("pending"),
+            F.pmod(F.xxhash64("key"), F.lit(self.rounds)).cast("int").alias("round"),
+        )
 
     def _spread(self, prompts: DataFrame) -> DataFrame:
         """Exactly the wished number of partitions.
@@ -231,14 +235,6 @@ class Inference:
         count = self.parallelism or session.sparkContext.defaultParallelism
         return prompts.repartition(count, F.xxhash64("key"))
 
-    def _hot_keys(self, seen: Observation) -> HotKeys:
-        """The most shared calls, all of them; at most ``rows / hot_rows`` calls can be that hot."""
-        found = sorted(((h["copies"], h["key"]) for h in seen.get["hot"]), reverse=True)
-        if not found:
-            return HotKeys()
-        salts = max(2, -(-found[0][0] // self.hot_rows))
-        return HotKeys(tuple(key for _, key in found), salts)
-
     def _call(self, prompts: DataFrame) -> DataFrame:
         call = _caller(self.client_factory, self.threads_per_task)
         return prompts.mapInPandas(call, ANSWERS_SCHEMA)
@@ -298,26 +294,27 @@ def attach_answers(
     conditions = [t.when for t in tasks]
     split = all(c is not None for c in conditions)
     asked = df.where(_either(conditions)) if split else df
-    row_hash = _row_hash(df) if hot.keys else F.lit(0)
+    row_hash = _row_hash(df) if hot.table is not None else F.lit(0)
 
     if len(tasks) == 1:
         replies = answers.select(F.col("key").alias("_set"), F.col("reply").alias(outs[0]))
         rows = asked.select(*columns, tasks[0].key.alias("_set"), row_hash.alias("_row"))
-        joined = spread_left_join(
-            rows, replies, "_set", hot.has(F.col("_set")), F.col("_row"), hot.salts
-        )
+        joined = spread_left_join(rows, replies, "_set", hot.table, F.col("_row"))
     else:
         keys = F.array(*[t.key for t in tasks])
         rows = asked.select(*columns, keys.alias("_keys"), row_hash.alias("_row"))
         key_set = F.sha2(F.array_join("_keys", "|", "-"), 256)
         # Never NULL, which spares a filter that would digest every row again.
         rows = rows.withColumn("_set", F.coalesce(key_set, F.lit("")))
-        rows = rows.withColumn("_hot", _all_hot(F.col("_keys"), hot))
-        gathered = _gather(rows.select("_set", "_hot", "_keys"), answers, outs, hot)
-        rows = rows.drop("_keys")
-        joined = spread_left_join(
-            rows, gathered, "_set", F.col("_hot") if hot.keys else None, F.col("_row"), hot.salts
-        )
+        # Distinct sets of keys and the rows behind each, in one aggregate that the
+        # gathering and the choice of hot sets share (Spark reuses its exchange).
+        sets = rows.groupBy("_set").agg(F.first("_keys").alias("_keys"), F.count("*").alias("copies"))
+        gathered = _gather(sets, answers, outs, hot)
+        hot_sets = None
+        if hot.table is not None:
+            hot_sets = sets.where(F.col("copies") >= hot.rows).select(
+                F.col("_set").alias("key"), salts_for(F.col("copies"), hot.rows).alias("salts"))
+        joined = spread_left_join(rows.drop("_keys"), gathered, "_set", hot_sets, F.col("_row"))
     joined = joined.select(*columns, *outs)
     if not split:
         return joined
@@ -329,25 +326,14 @@ def attach_answers(
 def _gather(sets: DataFrame, answers: DataFrame, outs: Sequence[str], hot: HotKeys) -> DataFrame:
     """Answers of each distinct set of keys, side by side."""
     members = (
-        sets.distinct()
-        .select("_set", "_hot", F.posexplode_outer("_keys").alias("slot", "key"))
+        sets.select("_set", F.posexplode_outer("_keys").alias("slot", "key"))
         .where(F.col("key").isNotNull())
     )
-    found = spread_left_join(
-        members, answers, "key", hot.has(F.col("key")), F.xxhash64("_set"), hot.salts
-    )
+    found = spread_left_join(members, answers, "key", hot.table, F.xxhash64("_set"))
     by_slot = [
         F.max(F.when(F.col("slot") == i, F.col("reply"))).alias(out) for i, out in enumerate(outs)
     ]
-    keep_hot = ["_hot"] if hot.keys else []
-    return found.groupBy("_set", *keep_hot).agg(*by_slot)
-
-
-def _all_hot(keys: Column, hot: HotKeys) -> Column:
-    """A set of keys can only be hot where each of its keys is."""
-    if not hot.keys:
-        return F.lit(False)
-    return F.forall(keys, lambda k: k.isNull() | any_of(k, hot.keys))
+    return found.groupBy("_set").agg(*by_slot)
 
 
 def _row_hash(df: DataFrame) -> Column:

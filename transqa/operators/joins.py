@@ -2,30 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def spread_left_join(
-    left: DataFrame, right: DataFrame, key: str, hot: Column | None, spread_by: Column, salts: int
+    left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None, spread_by: Column
 ) -> DataFrame:
-    """``left LEFT JOIN right ON key`` where rows marked ``hot`` get a salt.
+    """``left LEFT JOIN right ON key``, where the keys of ``hot`` are spread.
 
-    ``hot`` must be a function of columns both sides have, ``right`` unique on ``key``.
-    The right side's hot rows are repeated once per salt, so each row on the left still
-    meets its one partner. Without hot keys it is a plain join.
+    ``hot`` is a narrow table ``(key, salts)`` of keys that very many rows share; each
+    brings its own number of salts. It is broadcast: only keys of at least a fixed number
+    of rows are in it, so it holds at most rows / that number. ``right`` must be unique on
+    ``key``; its hot rows are repeated once per salt of their key, so each row on the left
+    still meets its one partner. Without hot keys it is a plain join.
     """
     if hot is None:
         return left.join(right, key, "left")
-    salted_left = left.withColumn(
-        "_salt", F.when(hot, F.pmod(spread_by, F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    )
-    every_salt = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn("_salt", F.explode(every_salt))
+    salts = F.broadcast(hot.select(F.col("key").alias(key), F.col("salts").alias("_salts")))
+    salted_left = left.join(salts, key, "left").withColumn(
+        "_salt", F.coalesce(F.pmod(spread_by, F.col("_salts")).cast("int"), F.lit(0))
+    ).drop("_salts")
+    every_salt = F.when(
+        F.col("_salts").isNotNull(), F.sequence(F.lit(0), F.col("_salts").cast("int") - 1)
+    ).otherwise(F.array(F.lit(0)))
+    salted_right = right.join(salts, key, "left").withColumn("_salt", F.explode(every_salt)).drop("_salts")
     return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")
 
 
-def any_of(key: Column, values: Sequence[str]) -> Column:
-    return F.coalesce(key.isin(*values), F.lit(False))
+def salts_for(copies: Column, hot_rows: int) -> Column:
+    """How far a key of ``copies`` rows is spread: one salt per ``hot_rows`` rows, two at least."""
+    return F.greatest(F.lit(2), F.ceil(copies / F.lit(hot_rows))).cast("int")

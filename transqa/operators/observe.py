@@ -48,9 +48,7 @@ def call_spans(
         .select("trace_id", *metadata, "c.name", "c.key")
         .where(F.col("key").isNotNull())
     )
-    answered = spread_left_join(
-        made, latest, "key", hot.has(F.col("key")), F.xxhash64("trace_id"), hot.salts
-    )
+    answered = spread_left_join(made, latest, "key", hot.table, F.xxhash64("trace_id"))
     return (
         answered.where(F.col("m").isNotNull())
         .select(
