@@ -62,5 +62,5 @@ def test_blocks_are_skipped(spark):
 
 def test_empty(spark):
     index = build_index(spark.createDataFrame([], DOCS))
-    assert index.documents == 0
+    assert index.count == 0
     assert search(index, spark.createDataFrame([(1, "a", None)], ITEMS)).count() == 0

@@ -1,11 +1,14 @@
 """Ranked lexical search by per-term geometric blocking.
 
-Index. Every document (a row; rows may repeat an id) gets a private key. Documents are put into
-blocks by the MinHash of their term sets (the least term hash, in about rows / ``block`` buckets), so
-that documents sharing much of their vocabulary sit together. A posting is (block, key, term, impact), where the impact is
-the document's exact integer contribution for that term (weight times saturated frequency); postings of
-impact 0 contribute nothing and are left out. A block's summary is the coordinatewise maximum of its
-documents' impact vectors: one (block, term, bound) row per term present in the block.
+Index. Every document (a row; rows may repeat an id) gets a private key and is stored as one row:
+its distinct terms with their counts (sorted and counted inside the row, no shuffle) and its block.
+Documents are put into blocks by the MinHash of their term sets (the least term hash, in about
+rows / ``block`` buckets), so that documents sharing much of their vocabulary sit together.
+
+Postings. For the terms that the items ask for, the documents' rows are exploded to postings
+(block, key, term, impact), where the impact is the document's exact integer contribution for that
+term (weight times saturated frequency); document frequencies are counted over these postings. A
+block's summary is the coordinatewise maximum of its documents' impact vectors on those terms.
 
 Search, per query item. The sum of a block's bounds over the item's terms bounds the score of every
 document in the block. The ``seeds`` blocks of highest bound are scored exactly; the 50th best score
@@ -13,9 +16,10 @@ found there (1 if fewer than 50 documents score) is a threshold no true top-50 d
 A block is skipped only when its exact bound is below that threshold; all other blocks are scored
 exactly, and the top 50 are taken from them. The result is exact.
 
-Scale: the term statistics (document frequency) are attached through a salted two-level count, so a
-term held by a third of all documents is spread over all salts; the query terms are broadcast after a
-check of their count (a shuffle join beyond it); top-k by item is a window limited on the map side.
+Scale: no row per (document, term) of the whole vocabulary ever leaves its task; the query terms are
+broadcast after a check of their count (a shuffle join beyond it), and the postings of a term held by a
+third of all documents are counted by partial aggregation; top-k by item is a window limited on the
+map side.
 
 Odd rows: null or empty texts have no terms and are not counted in N or L; rows repeating a doc_id are
 separate documents; a null doc_id ranks after all ids of equal score. Items with null text or no term
@@ -29,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from transqa.llm.common import read, stored
+from transqa.llm.common import let, read, stored
 
 # Fixed values of the contract.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -49,61 +53,81 @@ def terms(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Index:
-    postings: DataFrame   # block, key, doc_id, term, impact
-    summaries: DataFrame  # block, term, bound
-    documents: int        # N
+    documents: DataFrame  # key, doc_id, n, block, terms (distinct, sorted), tfs
+    count: int            # N
     length: int           # L
 
 
+def counted_terms(terms_col: Column) -> Column:
+    """Distinct terms of an array, sorted, and how often each occurs (struct of terms, tfs).
+
+    In the row, no shuffle; the sorted array and the run ends are bound once, never
+    evaluated again inside the lambdas.
+    """
+    def runs(ordered: Column) -> Column:
+        size = F.size(ordered)
+        # The last position of every run of equal terms.
+        ends = F.filter(F.sequence(F.lit(1), size),
+                        lambda i: (i == size) | (F.element_at(ordered, i) != F.try_element_at(ordered, i + 1)))
+
+        def pairs(last: Column) -> Column:
+            # j counts from 0: the run before the j-th one ends at the 1-based position j.
+            return F.struct(
+                F.transform(last, lambda i: F.element_at(ordered, i)).alias("terms"),
+                F.transform(last, lambda e, j: (e - F.when(j > 0, F.element_at(last, j)).otherwise(F.lit(0))).cast("long")).alias("tfs"),
+            )
+
+        return let(ends, pairs)
+
+    return let(F.array_sort(terms_col), runs)
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> Index:
-    spark = docs.sparkSession
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """One stored row per document with terms: its term counts and its block."""
     # Blocks are buckets of the documents' MinHash: documents whose least term hash is equal (likely
     # when their term sets overlap much) share a block; about ``block`` documents a block on average.
     n_blocks = max(1, docs.count() // block)
-    counted = stored(docs.select(
+    found = docs.select(
         F.monotonically_increasing_id().alias("key"),
         F.col(id_col).cast("long").alias("doc_id"),
-        terms(F.col(text_col)).alias("terms"),
-    ).where(F.size("terms") > 0).select(
-        # Per document, before the explode: beside it these would be evaluated once per term.
-        "key", "doc_id", "terms", F.size("terms").cast("long").alias("n"),
-        F.pmod(F.array_min(F.transform("terms", lambda t: F.xxhash64(t))), F.lit(n_blocks)).alias("block"),
-        F.array_min("terms").alias("least"),
-    ).select(
-        "key", "doc_id", "n", "block", "least", F.explode("terms").alias("term"),
-    ).groupBy("block", "key", "doc_id", "n", "term").agg(
-        F.count(F.lit(1)).alias("tf"), F.max(F.col("term") == F.col("least")).alias("lead"),
-    ).withColumn("salt", F.col("key") % salts), "search_counted")
-
-    # Term statistics in two levels, so that a term of every document spreads over all salts.
-    partial = stored(counted.groupBy("term", "salt").agg(
-        F.count(F.lit(1)).alias("c"), F.sum("tf").alias("tfs"), F.sum(F.col("lead").cast("long")).alias("leads")),
-        "search_partial")
-    totals = partial.agg(F.sum("leads").alias("N"), F.sum("tfs").alias("L")).first()
-    n_docs, length = int(totals["N"] or 0), int(totals["L"] or 0)
-    frequency = partial.groupBy("term").agg(F.sum("c").alias("df"))
-    salted = partial.join(frequency, "term").select("term", "salt", "df")
-
-    weight = F.floor(F.lit(1000.0) * F.log((F.lit(2 * n_docs + 2).cast("double")) / (2 * F.col("df") + 1))).cast("long")
-    m = F.lit(50) + F.expr(f"(50 * n * {n_docs}) div {max(length, 1)}")
-    saturated = F.expr("(1000000000 * tf) div (1000 * tf + 20 * m)")
-    postings = stored(counted.join(salted, ["term", "salt"])
-                      .withColumn("m", m)
-                      .select("block", "key", "doc_id", "term", (weight * saturated).alias("impact"))
-                      .where("impact > 0"), "search_postings")
-    summaries = stored(postings.groupBy("block", "term").agg(F.max("impact").alias("bound")), "search_summaries")
-    return Index(postings, summaries, n_docs, length)
+        terms(F.col(text_col)).alias("all_terms"),
+    ).where(F.size("all_terms") > 0)
+    rows = stored(found.select(
+        "key", "doc_id", F.size("all_terms").cast("long").alias("n"),
+        F.pmod(F.array_min(F.transform("all_terms", lambda t: F.xxhash64(t))), F.lit(n_blocks)).alias("block"),
+        counted_terms(F.col("all_terms")).alias("c"),
+    ).select("key", "doc_id", "n", "block", "c.terms", "c.tfs"), "search_index")
+    totals = rows.agg(F.count(F.lit(1)).alias("N"), F.sum("n").alias("L")).first()
+    return Index(rows, int(totals["N"]), int(totals["L"] or 0))
 
 
 def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_TERMS else df
 
 
-def _scores(index: Index, candidates: DataFrame, item_terms: DataFrame) -> DataFrame:
+def query_postings(index: Index, wanted: DataFrame) -> DataFrame:
+    """Postings of the wanted terms only, with their exact impacts: block, key, doc_id, term, impact.
+
+    The terms' document frequencies are counted over these postings; the other terms of the
+    corpus are never exploded into rows that leave their task.
+    """
+    exploded = index.documents.select(
+        "block", "key", "doc_id", "n", F.explode(F.arrays_zip("terms", "tfs")).alias("p"),
+    ).select("block", "key", "doc_id", "n", F.col("p.terms").alias("term"), F.col("p.tfs").alias("tf"))
+    hits = stored(exploded.join(wanted, "term", "left_semi"), "search_hits")
+    frequency = _small(hits.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    n_docs, length = index.count, max(index.length, 1)
+    weight = F.floor(F.lit(1000.0) * F.log(F.lit(float(2 * n_docs + 2)) / (2 * F.col("df") + 1))).cast("long")
+    m = F.expr(f"50 + (50 * n * {n_docs}) div {length}")
+    saturated = F.expr("(1000000000 * tf) div (1000 * tf + 20 * m)")
+    return stored(hits.join(frequency, "term").withColumn("m", m)
+                  .select("block", "key", "doc_id", "term", (weight * saturated).alias("impact"))
+                  .where("impact > 0"), "search_postings")
+
+
+def _scores(postings: DataFrame, candidates: DataFrame, item_terms: DataFrame) -> DataFrame:
     """Exact scores of every document in the candidate (item_id, block) pairs."""
     wanted = candidates.join(item_terms, "item_id")
-    postings = index.postings.join(item_terms.select("term").distinct(), "term", "left_semi")
     return (wanted.join(postings, ["block", "term"])
             .groupBy("item_id", "key", "doc_id").agg(F.sum("impact").alias("score")))
 
@@ -119,16 +143,19 @@ def search(index: Index, items: DataFrame, k: int = TOP, seeds: int = SEEDS,
     item_terms = _small(stored(items.select(F.col(id_col).cast("long").alias("item_id"),
                                             F.explode(F.array_distinct(terms(F.col(text_col)))).alias("term"))
                                .distinct(), "search_items"))
-    bounds = (index.summaries.join(item_terms, "term")
+    postings = query_postings(index, _small(item_terms.select("term").distinct()))
+    # Coordinatewise maxima of the blocks' impact vectors, on the terms asked for.
+    summaries = postings.groupBy("block", "term").agg(F.max("impact").alias("bound"))
+    bounds = (summaries.join(item_terms, "term")
               .groupBy("item_id", "block").agg(F.sum("bound").alias("ub")))
     first = Window.partitionBy("item_id").orderBy(F.desc("ub"), "block")
     seeded = bounds.withColumn("r", F.row_number().over(first)).where(F.col("r") <= seeds).select("item_id", "block")
-    threshold = (_best(_scores(index, seeded, item_terms), k).where(F.col("rank") == k)
+    threshold = (_best(_scores(postings, seeded, item_terms), k).where(F.col("rank") == k)
                  .select("item_id", F.col("score").alias("threshold")))
     candidates = (bounds.join(threshold, "item_id", "left")
                   .where(F.col("ub") >= F.coalesce("threshold", F.lit(1)))
                   .select("item_id", "block"))
-    best = _best(_scores(index, candidates, item_terms).where("score > 0"), k)
+    best = _best(_scores(postings, candidates, item_terms).where("score > 0"), k)
     return best.select("item_id", F.col("rank").cast("int"), "doc_id", F.col("score").cast("long"))
 
 
