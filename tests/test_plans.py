@@ -36,10 +36,10 @@ def documents(spark):
 def test_prompts_move_twice_and_answers_as_digests(spark, counting, inference, no_broadcast):
     run = inference(counting(lambda e, p: "fr"))
     plan = plan_of(run.unanswered(documents(spark), [translate.translate_task(SETTINGS)]))
-    # One shuffle by digest for dropping copies and the anti join, one to spread the calls,
-    # one of stored digests.
+    # One shuffle by digest for dropping copies and the join that marks answered prompts
+    # (answered ones stay, to count hot calls), one to spread the calls, one of stored digests.
     assert plan.count("Exchange") == 3
-    assert "partial_first" in plan and "LeftAnti" in plan
+    assert "partial_first" in plan and "LeftOuter" in plan
     stored = plan[plan.index("answers["):]
     assert "ReadSchema: struct<key:string,error:string>" in stored
     assert "struct<text:string>" in plan
@@ -73,3 +73,21 @@ def test_phase_two_reads_each_row_once(spark, tables):
 def test_endpoints_fan_out_without_a_join(spark):
     plan = plan_of(compare.across_endpoints(documents(spark), ["a", "b", "c"]))
     assert "Generate explode" in plan and "Join" not in plan and "Exchange" not in plan
+
+
+def test_final_join_moves_no_text(spark, tables, no_broadcast):
+    from transqa.operators import routing, scoring
+    from transqa.plans.workflow import EVALUATION, PHASE_TWO
+
+    settings = Settings(key="doc_id", rows_per_bucket=50)
+    flow = Workflow(tables, DoubleClient, settings)
+    flow.phase_one(documents(spark))
+    flow.phase_two()
+    flow.evaluate([scoring.semantic_scorer(settings), scoring.completeness_scorer()])
+    final = routing.attach_results(tables.read(PHASE_TWO), tables.read(EVALUATION), "doc_id")
+    plan = plan_of(final)
+    # Both sides are bucketed by key with one count (200 rows, 50 a bucket): the join
+    # needs no exchange, on the side with texts or any other.
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert final.count() == tables.read(PHASE_TWO).count()
+    assert final.where("status is null").count() == 0

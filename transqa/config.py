@@ -121,6 +121,7 @@ class Settings:
     call_rounds: int = 1
     reuse_days: int | None = None
     hot_rows: int = 200_000
+    rows_per_bucket: int = 1_000_000
     pipeline_version: str = "v2"
     guidelines: tuple[str, ...] = TRANSLATION_GUIDELINES
 

@@ -75,7 +75,9 @@ class Workflow:
             done = translate.back_translate(
                 self.tables.read(PHASE_ONE), self.inference, self.settings
             )
-            return self.tables.replace(done.drop(translate.NEEDS_BACK), PHASE_TWO)
+            return self.tables.replace(
+                done.drop(translate.NEEDS_BACK), PHASE_TWO, buckets=self._buckets(PHASE_ONE)
+            )
 
     def evaluate(self, scorers: list[scoring.Scorer] | None = None) -> DataFrame:
         """Score the translations; the result holds keys, language, verdicts and status."""
@@ -86,7 +88,7 @@ class Workflow:
             keep = [F.col(f"inputs.{name}").alias(name) for name in names]
             evaluated = scoring.evaluate(records, chosen, self.inference, keep)
             routed = routing.route(evaluated, [*names, *[s.name for s in chosen]])
-            scores = self.tables.replace(routed, EVALUATION)
+            scores = self.tables.replace(routed, EVALUATION, buckets=self._buckets(PHASE_TWO))
         self._log_evaluation(scores, [s.name for s in chosen])
         return scores
 
@@ -110,8 +112,17 @@ class Workflow:
         self.tables.create_or_load(RUNS, observe.RUNS_SCHEMA)
         self.tables.append(rows.unionByName(metrics), RUNS)
 
+    def _buckets(self, table: str) -> tuple[int, str]:
+        """Buckets by key for the tables the final join meets: one per ``rows_per_bucket`` rows.
+
+        Phase two holds the rows of phase one and the evaluation those of phase two, so
+        both get the same count and their join moves neither side.
+        """
+        rows = self.tables.read(table).count()
+        return max(1, -(-rows // self.settings.rows_per_bucket)), self.settings.key
+
     def finalize(self) -> DataFrame:
-        """Translations with status and rationales."""
+        """Translations with status and rationales, joined bucket by bucket: no text moves."""
         final = routing.attach_results(
             self.tables.read(PHASE_TWO), self.tables.read(EVALUATION), self.settings.key
         )
