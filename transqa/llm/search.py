@@ -101,34 +101,39 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return Index(rows, int(totals["N"]), int(totals["L"] or 0))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_TERMS else df
+def _small(df: DataFrame, limit: int = BROADCAST_TERMS) -> DataFrame:
+    """Broadcast a side whose row count is checked first; a shuffle join beyond the limit."""
+    return F.broadcast(df) if df.count() <= limit else df
 
 
-def query_postings(index: Index, wanted: DataFrame) -> DataFrame:
-    """Postings of the wanted terms only, with their exact impacts: block, key, doc_id, term, impact.
+def query_postings(index: Index, dictionary: DataFrame) -> DataFrame:
+    """Postings of the dictionary's terms only, with exact impacts: block, key, doc_id, tid, impact.
 
-    The terms' document frequencies are counted over these postings; the other terms of the
-    corpus are never exploded into rows that leave their task.
+    ``dictionary`` maps each asked term to a small integer ``tid``. The terms' document
+    frequencies are counted over these postings first; other terms never leave their task.
     """
-    exploded = index.documents.select(
-        "block", "key", "doc_id", "n", F.explode(F.arrays_zip("terms", "tfs")).alias("p"),
-    ).select("block", "key", "doc_id", "n", F.col("p.terms").alias("term"), F.col("p.tfs").alias("tf"))
-    hits = stored(exploded.join(wanted, "term", "left_semi"), "search_hits")
-    frequency = _small(hits.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    def exploded() -> DataFrame:
+        return index.documents.select(
+            "block", "key", "doc_id", "n", F.explode(F.arrays_zip("terms", "tfs")).alias("p"),
+        ).select("block", "key", "doc_id", "n", F.col("p.terms").alias("term"), F.col("p.tfs").alias("tf")
+                 ).join(dictionary, "term").drop("term")
+
+    frequency = _small(exploded().groupBy("tid").agg(F.count(F.lit(1)).alias("df")))
     n_docs, length = index.count, max(index.length, 1)
     weight = F.floor(F.lit(1000.0) * F.log(F.lit(float(2 * n_docs + 2)) / (2 * F.col("df") + 1))).cast("long")
     m = F.expr(f"50 + (50 * n * {n_docs}) div {length}")
     saturated = F.expr("(1000000000 * tf) div (1000 * tf + 20 * m)")
-    return stored(hits.join(frequency, "term").withColumn("m", m)
-                  .select("block", "key", "doc_id", "term", (weight * saturated).alias("impact"))
+    return stored(exploded().join(frequency, "tid").withColumn("m", m)
+                  .select("block", "key", "doc_id", "tid", (weight * saturated).alias("impact"))
                   .where("impact > 0"), "search_postings")
 
 
 def _scores(postings: DataFrame, candidates: DataFrame, item_terms: DataFrame) -> DataFrame:
-    """Exact scores of every document in the candidate (item_id, block) pairs."""
-    wanted = candidates.join(item_terms, "item_id")
-    return (wanted.join(postings, ["block", "term"])
+    """Exact scores of every document in the candidate (item_id, block) pairs.
+
+    The candidates are broadcast when their count allows, so postings stay where they are.
+    """
+    return (postings.join(_small(candidates), "block").join(item_terms, ["item_id", "tid"], "left_semi")
             .groupBy("item_id", "key", "doc_id").agg(F.sum("impact").alias("score")))
 
 
@@ -140,14 +145,19 @@ def _best(scores: DataFrame, k: int) -> DataFrame:
 def search(index: Index, items: DataFrame, k: int = TOP, seeds: int = SEEDS,
            id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """The k best documents of every item: item_id, rank, doc_id, score (positive scores only)."""
-    item_terms = _small(stored(items.select(F.col(id_col).cast("long").alias("item_id"),
-                                            F.explode(F.array_distinct(terms(F.col(text_col)))).alias("term"))
-                               .distinct(), "search_items"))
-    postings = query_postings(index, _small(item_terms.select("term").distinct()))
+    asked = stored(items.select(F.col(id_col).cast("long").alias("item_id"),
+                                F.explode(F.array_distinct(terms(F.col(text_col)))).alias("term"))
+                   .distinct(), "search_items")
+    # Asked terms numbered densely; their count is checked before anything is broadcast.
+    dictionary = _small(stored(asked.select("term").distinct()
+                               .withColumn("tid", F.dense_rank().over(Window.orderBy("term")).cast("int")),
+                               "search_terms"))
+    item_terms = _small(asked.join(dictionary, "term").select("item_id", "tid"))
+    postings = query_postings(index, dictionary)
     # Coordinatewise maxima of the blocks' impact vectors, on the terms asked for.
-    summaries = postings.groupBy("block", "term").agg(F.max("impact").alias("bound"))
-    bounds = (summaries.join(item_terms, "term")
-              .groupBy("item_id", "block").agg(F.sum("bound").alias("ub")))
+    summaries = postings.groupBy("block", "tid").agg(F.max("impact").alias("bound"))
+    bounds = stored(summaries.join(item_terms, "tid")
+                    .groupBy("item_id", "block").agg(F.sum("bound").alias("ub")), "search_bounds")
     first = Window.partitionBy("item_id").orderBy(F.desc("ub"), "block")
     seeded = bounds.withColumn("r", F.row_number().over(first)).where(F.col("r") <= seeds).select("item_id", "block")
     threshold = (_best(_scores(postings, seeded, item_terms), k).where(F.col("rank") == k)
