@@ -236,3 +236,26 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return turns.join(loss, turns.conv_id.eqNullSafe(loss.conv_id)).select(
         turns.conv_id, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+# Expected rows: the same template and escaping by string functions, digests by ordered aggregation.
+OP11_SQL = r"""
+WITH c AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), e AS (
+  SELECT *,
+         replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '###', '\###') AS te,
+         replace(replace(replace(replace(role, '\', '\\'), '</turn>', '<\/turn>'), '###', '\###'), chr(10), '\' || chr(10)) AS re
+  FROM c
+)
+SELECT conv_id,
+       CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, re, te)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(te) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, re, te), '')) AS loss_sha256,
+       CAST(sum(4 + length(re) + 2 + length(te) + 8) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""

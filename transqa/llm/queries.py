@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from transqa.llm.chat import op11_chat_format
+from transqa.llm.chat import OP11_SQL, op11_chat_format
 from transqa.llm.embeddings import OP2_SQL, op2_embedding_near_dedup
 from transqa.llm.minhash import op5_minhash_near_dedup
 from transqa.llm.mixing import OP3_SQL, op3_mixing
@@ -36,5 +36,6 @@ ORACLES = {
     "op3_mixing": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
     "op9_warc": OP9_SQL,
+    "op11_chat_format": OP11_SQL,
     "op12_lexical_search": OP12_SQL,
 }
