@@ -112,18 +112,17 @@ def query_postings(index: Index, dictionary: DataFrame) -> DataFrame:
     ``dictionary`` maps each asked term to a small integer ``tid``. The terms' document
     frequencies are counted over these postings first; other terms never leave their task.
     """
-    def exploded() -> DataFrame:
-        return index.documents.select(
-            "block", "key", "doc_id", "n", F.explode(F.arrays_zip("terms", "tfs")).alias("p"),
-        ).select("block", "key", "doc_id", "n", F.col("p.terms").alias("term"), F.col("p.tfs").alias("tf")
-                 ).join(dictionary, "term").drop("term")
-
-    frequency = _small(exploded().groupBy("tid").agg(F.count(F.lit(1)).alias("df")))
+    # One pass over the index: the postings of asked terms, with small integer ids, stored.
+    hits = stored(index.documents.select(
+        "block", "key", "doc_id", "n", F.explode(F.arrays_zip("terms", "tfs")).alias("p"),
+    ).select("block", "key", "doc_id", "n", F.col("p.terms").alias("term"), F.col("p.tfs").alias("tf")
+             ).join(dictionary, "term").drop("term"), "search_hits")
+    frequency = _small(hits.groupBy("tid").agg(F.count(F.lit(1)).alias("df")))
     n_docs, length = index.count, max(index.length, 1)
     weight = F.floor(F.lit(1000.0) * F.log(F.lit(float(2 * n_docs + 2)) / (2 * F.col("df") + 1))).cast("long")
     m = F.expr(f"50 + (50 * n * {n_docs}) div {length}")
     saturated = F.expr("(1000000000 * tf) div (1000 * tf + 20 * m)")
-    return stored(exploded().join(frequency, "tid").withColumn("m", m)
+    return stored(hits.join(frequency, "tid").withColumn("m", m)
                   .select("block", "key", "doc_id", "tid", (weight * saturated).alias("impact"))
                   .where("impact > 0"), "search_postings")
 
