@@ -227,3 +227,55 @@ def test_a_lost_worker_loses_no_answer(spark, counting, inference, tmp_path):
     run = inference(counting(answer), parallelism=3)
     assert answers(run.run(df, [shout()])) == [f"say {i}" for i in range(60)]
     assert marker.exists() and run.store.open().count() == 60
+
+
+def mixed_rows(spark):
+    """Prompts of one row, of several, and one answered before, over four partitions."""
+    texts = [f"only {i}" for i in range(40)] + ["twice", "twice", "old", None] + ["often"] * 20
+    return docs(spark, texts).repartition(4), texts
+
+
+@pytest.mark.parametrize("shared_keys", [0, 1_000_000])
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_shared_and_single_prompts_are_each_asked_once(
+    spark, counting, inference, monkeypatch, shared_keys, rounds
+):
+    from transqa.operators import infer
+
+    monkeypatch.setattr(infer, "SPREAD_CHARS", 0)
+    monkeypatch.setattr(infer, "SHARED_KEYS", shared_keys)
+    calls = counting()
+    run = inference(calls, rounds=rounds)
+    df, texts = mixed_rows(spark)
+    run.run(docs(spark, ["old"]), [shout()])
+    assert answers(run.run(df, [shout()])) == [None if t is None else f"e:say {t}" for t in texts]
+    assert calls.prompts == sorted(("e", f"say {t}") for t in {*texts} - {None})
+
+
+def test_prompts_of_one_row_are_sent_from_where_they_lie(spark, counting, inference):
+    run = inference(counting())
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        F.col("doc_id").alias("id"), "text")
+    keys = run.store.tables.replace(run._keys(df, [shout()]), "keys")
+    alone = run._pending(df, [shout()], 0, None, keys.select(F.xxhash64("key").alias("_mark")), 0)
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+    marks = keys.where("copies > 1").select(F.xxhash64("key").alias("_mark")).distinct()
+    mixed = run._pending(df, [shout()], 0, None, marks, 1)
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan.split("Aggregate")[0] and "LeftSemi" in plan
+
+
+def test_python_holds_a_slice_of_prompts_at_a_time():
+    import pyarrow as pa
+
+    from transqa.operators.infer import ARROW_SCHEMA, _caller
+
+    class Echo:
+        def complete(self, endpoint, prompt):
+            return prompt
+
+    columns = {c: [f"{c}{i}" for i in range(200)] for c in ("key", "task", "endpoint", "prompt")}
+    out = list(_caller(Echo, 1)(iter([pa.RecordBatch.from_pydict(columns)])))
+    assert [b.num_rows for b in out] == [64, 64, 64, 8]
+    assert all(b.schema == ARROW_SCHEMA for b in out)
+    assert pa.Table.from_batches(out)["answer"].to_pylist() == columns["prompt"]

@@ -3,10 +3,13 @@
 A model call costs far more than a shuffle, so the plan is built around making
 each call once:
 
-1. prompts of all tasks are reduced to distinct ones, map side first;
-2. those with a stored answer are removed by an anti join on a digest;
-3. the rest is spread over a fixed number of partitions and sent to the client
-   by ``mapInPandas``, which the optimizer can neither repeat nor move;
+1. a narrow job finds the digests of all tasks' prompts, counts the rows behind each
+   and marks those with a stored answer; no text moves for it;
+2. prompts that one row alone asks, which are most, are sent from where they lie; only
+   those that several rows share are reduced to distinct ones, map side first;
+3. they go to the client by ``mapInArrow``, which the optimizer can neither repeat nor
+   move, a few at a time; loads too small to fill the cores, and any with a wished number of
+   partitions, are spread first;
 4. answers are appended to a table, and only then joined back to the rows.
 
 Step 4 makes the returned DataFrame free of calls: using it twice costs a join,
@@ -23,7 +26,7 @@ from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +40,16 @@ ANSWERS_SCHEMA = (
     "in_chars int, out_chars int, error string, task string, endpoint string, day date"
 )
 PARTITION_COLUMNS = ("task", "endpoint", "day")
+ARROW_SCHEMA = pa.schema([
+    ("key", pa.string()), ("answer", pa.string()), ("started_at", pa.timestamp("us", "UTC")),
+    ("duration_ms", pa.int64()), ("in_chars", pa.int32()), ("out_chars", pa.int32()),
+    ("error", pa.string()), ("task", pa.string()), ("endpoint", pa.string()), ("day", pa.date32()),
+])
 CHUNK = 64
+#: Shared keys that are told to every executor as hashes; beyond it all prompts are shuffled.
+SHARED_KEYS = 1_000_000
+#: Characters to send per core below which spreading the calls costs little.
+SPREAD_CHARS = 64 << 20
 
 
 class ModelClient(Protocol):
@@ -187,43 +199,93 @@ class Inference:
     def answer(self, df: DataFrame, tasks: Sequence[Task]) -> HotKeys:
         """Call the model for prompts that have no good answer yet.
 
-        One job finds the distinct prompts, counts the rows behind each and marks those
-        with a good answer; it is written once, partitioned by whether a call is pending
-        and by round, with texts of pending prompts only. The calls shared by many rows
-        are then read from it as a narrow table, and each round reads its own files.
+        One narrow job writes the digest of every prompt with the rows behind it and
+        whether it has a good answer. The calls shared by many rows are then read from it
+        as a table ``(key, salts)``, and so is which prompts must be reduced to distinct
+        ones. A round's prompts are chosen by their digests before any text moves.
         """
         stage = f"{self.store.table}_prompts"
-        written = self.store.tables.replace(self._marked(df, tasks), stage, ("pending", "round"))
+        keys = self.store.tables.replace(self._keys(df, tasks), stage)
         hot = self.store.tables.replace(
-            written.where("hot").select("key", salts_for(F.col("copies"), self.hot_rows).alias("salts")),
+            keys.where(F.col("copies") >= self.hot_rows).select(
+                "key", salts_for(F.col("copies"), self.hot_rows).alias("salts")),
             f"{self.store.table}_hot",
         )
-        for number in range(self.rounds):
-            batch = written.where(F.col("pending") & (F.col("round") == number))
-            self.store.append(self._call(self._spread(batch.select("key", "task", "endpoint", "prompt"))))
+        shared = F.col("answered") | (F.col("copies") > 1)
+        load = keys.agg(
+            F.count_if(shared).alias("shared"), F.count_if(~F.col("answered")).alias("pending"),
+            F.count_if("answered").alias("answered"),
+            F.sum(F.when(~F.col("answered"), F.col("chars"))).alias("chars"),
+            F.max("part").alias("part"),
+        ).first()
+        if load["pending"]:
+            cores = df.sparkSession.sparkContext.defaultParallelism
+            spread = (
+                self.parallelism is not None
+                or load["part"] + 1 < cores
+                or load["chars"] < cores * SPREAD_CHARS
+            )
+            done = keys.where("answered").select("key") if load["answered"] else None
+            marks = None
+            if load["shared"] <= SHARED_KEYS:
+                marks = keys.where(shared).select(F.xxhash64("key").alias("_mark")).distinct()
+            for number in range(self.rounds):
+                batch = self._pending(df, tasks, number, done, marks, load["shared"])
+                self.store.append(self._call(self._spread(batch) if spread else batch))
         self.store.tables.drop(stage)
         return HotKeys(hot, self.hot_rows)
 
-    def unanswered(self, df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
-        """Distinct prompts still to be sent, as they are spread for calling."""
-        pending = self._marked(df, tasks).where("pending").select("key", "task", "endpoint", "prompt")
-        return self._spread(pending)
+    def _keys(self, df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
+        """Digest of each distinct prompt, its rows, length and whether it has a good answer."""
+        found = (
+            all_prompts(df, tasks)
+            .select("key", F.length("prompt").alias("chars"), F.spark_partition_id().alias("part"))
+            .groupBy("key")
+            .agg(F.count("*").alias("copies"), F.max("chars").alias("chars"), F.max("part").alias("part"))
+        )
+        return found.join(self._answered(tasks), "key", "left").select(
+            "key", "copies", "chars", "part", F.col("answered").isNotNull().alias("answered"))
 
-    def _marked(self, df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
-        """Distinct prompts, whether each is pending, hot, and its round.
+    def _answered(self, tasks: Sequence[Task]) -> DataFrame:
+        good = self.store.for_tasks(tasks).where(F.col("error").isNull())
+        return good.select("key").distinct().withColumn("answered", F.lit(True))
+
+    def _pending(
+        self, df: DataFrame, tasks: Sequence[Task], number: int, done: DataFrame | None,
+        marks: DataFrame | None, shared: int,
+    ) -> DataFrame:
+        """The prompts of a round, each once: those of one row from where they lie.
+
+        ``marks`` hashes the digests that several rows share or that are answered. A
+        digest that only hashes like one of them takes the way of the shared ones, which
+        goes by whole digests. Without marks all prompts take that way.
+        """
+        rows = all_prompts(df, tasks)
+        if self.rounds > 1:
+            rows = rows.where(F.pmod(F.xxhash64("key"), F.lit(self.rounds)) == number)
+        if marks is not None and not shared:
+            return rows
+        several = rows
+        if marks is not None:
+            rows = rows.withColumn("_mark", F.xxhash64("key"))
+            several = rows.join(F.broadcast(marks), "_mark", "left_semi").drop("_mark")
+        several = several.groupBy("key").agg(
+            *[F.first(c).alias(c) for c in ("task", "endpoint", "prompt")])
+        if done is not None:
+            several = several.join(done, "key", "left_anti")
+        if marks is None:
+            return several
+        return rows.join(F.broadcast(marks), "_mark", "left_anti").drop("_mark").unionByName(several)
+
+    def unanswered(self, df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
+        """Distinct prompts still to be sent, spread as for calling.
 
         Both sides of the join are partitioned by key: only digests of the stored
-        answers are shuffled for it. Answered prompts keep no text.
+        answers are shuffled for it.
         """
-        good = self.store.for_tasks(tasks).where(F.col("error").isNull())
-        answered = good.select("key").distinct().withColumn("answered", F.lit(True))
-        pending = F.col("answered").isNull()
-        return distinct_prompts(df, tasks).join(answered, "key", "left").select(
-            "key", "task", "endpoint", F.when(pending, F.col("prompt")).alias("prompt"), "copies",
-            (F.col("copies") >= self.hot_rows).alias("hot"),
-            pending.alias("pending"),
-            F.pmod(F.xxhash64("key"), F.lit(self.rounds)).cast("int").alias("round"),
-        )
+        marked = distinct_prompts(df, tasks).join(self._answered(tasks), "key", "left")
+        return self._spread(
+            marked.where(F.col("answered").isNull()).select("key", "task", "endpoint", "prompt"))
 
     def _spread(self, prompts: DataFrame) -> DataFrame:
         """Exactly the wished number of partitions.
@@ -237,15 +299,11 @@ class Inference:
 
     def _call(self, prompts: DataFrame) -> DataFrame:
         call = _caller(self.client_factory, self.threads_per_task)
-        return prompts.mapInPandas(call, ANSWERS_SCHEMA)
-
+        return prompts.select("key", "task", "endpoint", "prompt").mapInArrow(call, ANSWERS_SCHEMA)
 
-def distinct_prompts(df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
-    """Distinct ``(key, task, endpoint, prompt)`` over all tasks, and their ``copies``.
 
-    Duplicates are dropped by digest before and after the shuffle, so
-    a prompt shared by a third of all rows travels once per input partition.
-    """
+def all_prompts(df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
+    """``(key, task, endpoint, prompt)`` of every row and task with something to ask."""
     # A prompt is built once per row: its digest is taken from the finished column.
     prompts = [t.prompt if t.when is None else F.when(t.when, t.prompt) for t in tasks]
     conditions = [t.when for t in tasks]
@@ -265,10 +323,18 @@ def distinct_prompts(df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
             for t, p in zip(tasks, prompts)
         ]
         rows = df.select(F.explode(F.array(*asked)).alias("p")).select("p.*")
-    rows = rows.where(F.col("prompt").isNotNull()).select(
+    return rows.where(F.col("prompt").isNotNull()).select(
         call_key("task", "endpoint", "prompt").alias("key"), "task", "endpoint", "prompt"
     )
-    return rows.groupBy("key").agg(
+
+
+def distinct_prompts(df: DataFrame, tasks: Sequence[Task]) -> DataFrame:
+    """Distinct ``(key, task, endpoint, prompt)`` over all tasks, and their ``copies``.
+
+    Duplicates are dropped by digest before and after the shuffle, so
+    a prompt shared by a third of all rows travels once per input partition.
+    """
+    return all_prompts(df, tasks).groupBy("key").agg(
         *[F.first(c).alias(c) for c in ("task", "endpoint", "prompt")],
         F.count("*").alias("copies"),
     )
@@ -349,34 +415,35 @@ def _either(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
-def _caller(factory: ClientFactory, threads: int) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def call(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _caller(
+    factory: ClientFactory, threads: int
+) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sends a batch's prompts a slice at a time: Python holds no more texts and answers than that."""
+    def call(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = factory()
 
-        def ask(row) -> tuple:
+        def ask(row: dict) -> dict:
             started = datetime.now(timezone.utc)
             clock = time.perf_counter()
             answer, error = None, None
             try:
-                answer = client.complete(row.endpoint, row.prompt)
+                answer = client.complete(row["endpoint"], row["prompt"])
             except Exception as failure:  # noqa: BLE001 - a failed call is a row, not a failed job
                 error = f"{type(failure).__name__}: {failure}"
-            took = round((time.perf_counter() - clock) * 1000)
-            return (
-                row.key, answer, started, took, len(row.prompt),
-                None if answer is None else len(answer), error, row.task, row.endpoint,
-                started.date(),
-            )
-
-        names = [field.strip().split(" ")[0] for field in ANSWERS_SCHEMA.split(",")]
+            return {
+                "key": row["key"], "answer": answer, "started_at": started,
+                "duration_ms": round((time.perf_counter() - clock) * 1000),
+                "in_chars": len(row["prompt"]), "out_chars": None if answer is None else len(answer),
+                "error": error, "task": row["task"], "endpoint": row["endpoint"],
+                "day": started.date(),
+            }
+
+        step = CHUNK * max(threads, 1)
         with ThreadPoolExecutor(max(threads, 1)) as pool:
             for batch in batches:
-                for start in range(0, len(batch), CHUNK * max(threads, 1)):
-                    part = batch.iloc[start : start + CHUNK * max(threads, 1)]
-                    rows = list(part.itertuples(index=False))
+                for start in range(0, batch.num_rows, step):
+                    rows = batch.slice(start, step).to_pylist()
                     done = pool.map(ask, rows) if threads > 1 else map(ask, rows)
-                    frame = pd.DataFrame(list(done), columns=names)
-                    frame["out_chars"] = frame["out_chars"].astype("Int32")
-                    yield frame
+                    yield pa.RecordBatch.from_pylist(list(done), ARROW_SCHEMA)
 
     return call
