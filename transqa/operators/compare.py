@@ -40,12 +40,23 @@ def across_endpoints(sample: DataFrame, endpoints: Sequence[str]) -> DataFrame:
 def translate_by_endpoint(
     sample: DataFrame, inference: Inference, settings: Settings
 ) -> DataFrame:
-    """Translate the sample with every endpoint in a single inference pass."""
+    """Translate the sample with every endpoint in a single inference pass.
+
+    Each endpoint is a task of its own over the sample, and rows fan out when they have
+    their answers, so that a text moves once and not once per endpoint.
+    """
     plain = replace(settings, skip_english=False, name_source_language=False)
-    pairs = across_endpoints(sample, settings.endpoints.comparison)
-    task = translate_task(plain, endpoint=F.col("endpoint"))
-    return inference.run(pairs, [task]).select(
-        *pairs.columns, F.col(f"{task.out}.answer").alias("english_translation")
+    endpoints = settings.endpoints.comparison
+    tasks = [
+        replace(translate_task(plain, endpoint=e), out=f"_translated_{i}")
+        for i, e in enumerate(endpoints)
+    ]
+    each = F.array(*[
+        F.struct(F.lit(e).alias("endpoint"), F.col(f"{t.out}.answer").alias("english_translation"))
+        for e, t in zip(endpoints, tasks)
+    ])
+    return inference.run(sample, tasks).select(*sample.columns, F.explode(each).alias("_each")).select(
+        *sample.columns, "_each.endpoint", "_each.english_translation"
     )
 
 
