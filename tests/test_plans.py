@@ -91,3 +91,24 @@ def test_final_join_moves_no_text(spark, tables, no_broadcast):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     assert final.count() == tables.read(PHASE_TWO).count()
     assert final.where("status is null").count() == 0
+
+
+def test_a_text_moves_once_for_all_endpoints(spark, counting, inference, no_broadcast):
+    run = inference(counting(lambda e, p: f"{e} of {len(p)}"))
+    sample = documents(spark).select("doc_id", "extracted_text")
+    done = compare.translate_by_endpoint(sample, run, SETTINGS)
+    # Rows fan out above the join that attaches the answers.
+    plan = plan_of(done)
+    assert "Generate explode" in plan.split("Exchange")[0]
+    assert done.count() == 3 * sample.count()
+    assert {r[0] for r in done.select(F.substring_index("english_translation", " ", 1)).distinct().collect()
+            } == {*SETTINGS.endpoints.comparison}
+
+
+def test_detection_is_written_before_translation_reads_it(spark, tables):
+    from dataclasses import replace
+
+    flow = Workflow(tables, DoubleClient, replace(SETTINGS, skip_english=True))
+    plan = plan_of(translate.detect_and_translate(
+        documents(spark).drop("lang"), flow.inference, flow.settings))
+    assert flow.tables.exists("answers_detected") and "answers_detected" in plan

@@ -81,10 +81,12 @@ def detect_and_translate(df: DataFrame, inference: Inference, settings: Settings
     """Both in one pass over the documents, as the two calls are independent.
 
     They are not when the prompt names the source language or English is skipped;
-    then detection runs first.
+    then detection runs first and its rows are written, as translation reads them several times.
     """
     if settings.skip_english or settings.name_source_language:
-        return translate(detect(df, inference, settings), inference, settings)
+        stage = f"{inference.store.table}_detected"
+        detected = inference.store.tables.replace(detect(df, inference, settings), stage)
+        return translate(detected, inference, settings)
     detected, translated = detect_task(settings), translate_task(settings)
     return inference.run(df, [detected, translated]).select(
         *df.columns,
