@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from transqa.functions.elements import document_elements, elements_text, page_count
 from transqa.functions.judgment import parse_judgment
 from transqa.operators.extract import extract_text, parse_html, parse_with, with_text
-from transqa.sources.files import scan_files, table_as_files
+from transqa.sources.files import scan_files, table_as_files, write_text_files
 
 
 def parsed(spark, documents):
@@ -128,3 +128,15 @@ def test_judge_replies(spark):
     rows = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, r string")
     got = rows.orderBy("i").select(parse_judgment("r").alias("f")).select("f.*").collect()
     assert [tuple(r) for r in got] == [c[1:] for c in cases]
+
+
+def test_rows_are_written_as_files_in_a_folder_per_task(spark, tmp_path):
+    texts = ["a", "b\nc", "", "a", None, "ü"] * 5
+    df = spark.createDataFrame([(t,) for t in texts], "html string").repartition(3)
+    write_text_files(df, "html", str(tmp_path / "out"))
+    # A commit moves folders, not files: none lies in the top folder.
+    assert not list((tmp_path / "out").glob("*.txt"))
+    assert 1 < len(list((tmp_path / "out").glob("task=*"))) <= 3
+    found = scan_files(spark, str(tmp_path / "out"), "*.txt", recursive=True)
+    got = sorted(bytes(r[0]).decode() for r in found.select("content").collect())
+    assert got == sorted(f"{t or ''}\n" for t in texts)

@@ -32,10 +32,15 @@ def table_as_files(df: DataFrame, path: Column | str, text: Column | str) -> Dat
 
 
 def write_text_files(df: DataFrame, text: str, directory: str) -> None:
-    """Write every row as a file of its own."""
+    """Write every row as a file of its own, in one folder per task.
+
+    The commit then moves a folder per task, where it would move each file on the driver, and
+    no folder holds more than a task's files. Read them back with ``recursive``.
+    """
     (
-        df.select(F.col(text).alias("value"))
+        df.select(F.col(text).alias("value"), F.spark_partition_id().alias("task"))
         .write.mode("overwrite")
         .option("maxRecordsPerFile", 1)
+        .partitionBy("task")
         .text(directory)
     )
