@@ -57,13 +57,13 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, bounds: np.ndarray, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words of a run, their byte bounds, and the rows' bounds among the words."""
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, np.zeros(len(bounds), np.int64)
-    solid = ~_BLANK[data]
+    solid = ~blank[data]
     fresh = np.ones(n + 1, bool)       # here a word cannot go on
     fresh[1:n] = ~solid[:-1]
     fresh[bounds] = True
