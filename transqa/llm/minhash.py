@@ -8,7 +8,8 @@ chunk with one place left out: the index holds every chunk with each of its plac
 left out, and finds *all* pairs within that distance. At Jaccard 0.8 a pair lies
 beyond it with probability about 1e-6. Where groups stay apart in a shared bucket, pairs must
 also agree in a sketch of ``BITS`` one-bit minima, which a pair at the limit fails with
-probability about 1e-6. Pairs found are confirmed on full shingle sets.
+probability about 1e-6. Pairs found are confirmed on full shingle sets: those with a bucket's
+smallest member by join, those between groups that stay apart where clusters of near groups meet.
 """
 
 from __future__ import annotations
@@ -85,12 +86,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, per_cent: int = SIMILARITY,
     open_ = stored(told.where("n > 2").join(mixed, "key").select("key", "id", "hub", "label"), "open")
     sketches = stored(_sketches(sets.join(open_.select("id").distinct(), "id", "left_semi")), "sketches")
     sizes = used.where(F.col("n") > BLOCK).select("key", "n")
-    rest = (
+    # A run gives fewer pairs of near groups than it has groups, not its pairs of near members.
+    near = (
         gathered(blocked(open_.join(sketches, "id"), sizes, "key", F.col("id")), "key")
         .select("key", "block_a", "block_b", "block", "id", "hub", "label", "symbols", "sketch")
-        .mapInArrow(near_pairs(most_apart(per_cent), np.uint16, _first_key), "a long, b long").distinct()
+        .mapInArrow(near_pairs(most_apart(per_cent), np.uint16, _first_key, groups=True), "a long, b long")
+    )
+    cluster = components(near).select(F.col("id").alias("label"), F.col("component").alias("cluster"))
+    # All links between groups lie within a cluster of near groups; they are found there on full sets.
+    close = stored(open_.select("id", "label").distinct().join(cluster, "label"), "close")
+    sizes = close.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    more = (
+        gathered(blocked(close.join(sketches, "id").join(sets, "id"), sizes, "cluster", F.col("id")), "cluster")
+        .select("cluster", "block_a", "block_b", "block", "id", "label", "sketch", "full")
+        .mapInArrow(_links(per_cent), "a long, b long")
     )
-    more = confirmed(rest, sets, per_cent)
     final = components(links.unionByName(more))
     return (
         member.join(final.withColumnRenamed("id", "rep"), "rep", "left")
@@ -176,9 +186,12 @@ def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(apart <= DISTANCE).select("a", "b")
 
 
-def near_pairs(most: int, kind: type, first):
+def near_pairs(most: int, kind: type, first, groups: bool = False):
     """Pairs of a run whose sketches are near, of different groups and not yet tried.
 
+    With ``groups`` the pairs are of groups: near groups are one within the run from then on, so
+    that a run gives fewer pairs than it has groups, which join the same groups as all pairs.
+
     ``first`` gives, for signatures against one, the number of the first bucket that they
     share, or -1 to leave the pair out: each pair is taken up in that bucket alone. A
     key's high bits are the number of its bucket.
@@ -186,7 +199,8 @@ def near_pairs(most: int, kind: type, first):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, "key"):
             at = run_bounds(table, "key")
-            ids, label, hub, block = (table[c].to_numpy() for c in ("id", "label", "hub", "block"))
+            ids, group, hub, block = (table[c].to_numpy() for c in ("id", "label", "hub", "block"))
+            label = group.copy()
             own = table["block_a"].to_numpy() == table["block_b"].to_numpy()
             symbols = np.frombuffer(b"".join(table["symbols"].to_pylist()), kind).reshape(table.num_rows, -1)
             sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
@@ -202,7 +216,13 @@ def near_pairs(most: int, kind: type, first):
                         j = j[block[j] != block[i]]
                     j = j[np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64) <= most]
                     j = j[first(symbols[j], symbols[i]) == number[i]] if len(j) else j
-                    if len(j):
+                    if len(j) and groups:
+                        joined, one = np.unique(label[j], return_index=True)
+                        j = group[j[one]]
+                        found.append(np.stack([np.minimum(group[i], j), np.maximum(group[i], j)]))
+                        run = label[lo:hi]
+                        run[np.isin(run, joined)] = label[i]
+                    elif len(j):
                         found.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
             if found:
                 out = np.unique(np.concatenate(found, 1), axis=1)
@@ -211,6 +231,48 @@ def near_pairs(most: int, kind: type, first):
     return pairs
 
 
+def _links(per_cent: int):
+    """Links within each run between documents of different groups, checked on their full sets.
+
+    Linked groups are one within the run, nearest first, so that a run gives fewer links than it
+    has groups and no list of pairs leaves the task.
+    """
+    most = most_apart(per_cent)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, "cluster"):
+            bounds = run_bounds(table, "cluster")
+            ids, label, block = (table[c].to_numpy() for c in ("id", "label", "block"))
+            label = label.copy()
+            own = table["block_a"].to_numpy() == table["block_b"].to_numpy()
+            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
+            full = table["full"].combine_chunks()
+            at = np.concatenate([[0], np.cumsum(full.value_lengths().to_numpy(zero_copy_only=False))])
+            sets = np.split(full.flatten().to_numpy().view(np.uint64), at[1:-1])
+            found: list[tuple[int, int]] = []
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                for i in range(lo, hi - 1):
+                    j = np.arange(i + 1, hi)
+                    j = j[label[j] != label[i]]
+                    if not own[i]:
+                        j = j[block[j] != block[i]]
+                    apart = np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64)
+                    for k in j[np.argsort(apart, kind="stable")][:np.count_nonzero(apart <= most)]:
+                        if label[k] == label[i]:
+                            continue
+                        few, many = sorted((sets[i], sets[k]), key=len)
+                        both = np.count_nonzero(many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few)
+                        if 100 * both >= per_cent * (len(few) + len(many) - both):
+                            found.append((ids[i], ids[k]))
+                            run = label[lo:hi]
+                            run[run == label[k]] = label[i]
+            if found:
+                out = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
+
+    return link
+
+
 def _first_key(some: np.ndarray, one: np.ndarray) -> np.ndarray:
     """The first chunk with at most one error, and the place to leave out."""
     wrong = some != one
