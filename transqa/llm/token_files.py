@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ MAGIC = b"PLANES01"
 BLOCK = 1 << 18
 FILE = 1 << 25          # ids of a file
 BATCH = 1 << 20         # ids of a batch that is read
+CALL = 1 << 22          # bytes of texts encoded at once, about
 SCHEMA = "doc_id long, start long, ids binary"
 
 
@@ -207,17 +209,17 @@ class Encoder:
 
     Byte-level BPE never joins what its splitting pattern parts, and before a single space
     between two other characters it always parts; so a text is the sum of its
-    words, each with the space before it. A word is looked up, else parted by the pattern
-    and its parts looked up, and parts not met before go to the library. Texts of other
-    tokenizers, with other white space around a space, or with special tokens go to it whole.
+    words, each with the space before it. A call's different words are looked up without the marks that end them, and those not met
+    before go to the library, many in one text: there each one's only token that begins with
+    a space is its first; where that does not hold, they go one by one. Texts of other tokenizers, with other white space before a space, or with
+    special tokens go to it whole.
     """
 
-    WORDS, PARTS = 300_000, 900_000
-    PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    WORDS, TAILS, TOGETHER = 800_000, 10_000, 1024
+    MARKS = ".,;:!?#*$%&|<>"
 
     def __init__(self, model: str, end_id: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model)
@@ -227,42 +229,99 @@ class Encoder:
             told.get("normalizer") is None and split.get("type") == "ByteLevel"
             and not split.get("add_prefix_space") and split.get("use_regex", True))
         special = [re.escape(t["content"]) for t in told.get("added_tokens", [])]
-        self.odd = re.compile("|".join([r"\s\s", r"\A\s", r"\s\Z", *special]))
         self.inner = re.compile(r"\s ")
         self.special = re.compile("|".join(special)) if special else None
-        self.pattern = regex.compile(self.PATTERN)
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.begins = np.array([(self.library.id_to_token(i) or "").startswith("\u0120") for i in range(size)], bool)
         self.end = b"" if end_id is None else struct.pack("<I", end_id)
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
         whole = [i for i, t in enumerate(texts)
                  if not self.by_word or self.inner.search(t) or (self.special and self.special.search(t))]
-        direct = dict(zip(whole, self._library([texts[i] for i in whole]), strict=True))
-        cut = {i: t.split(" ") for i, t in enumerate(texts) if i not in direct}
-        known = self.words
-        for i, units in cut.items():
-            units[1:] = [" " + u for u in units[1:]]
-        new = list(set().union(*cut.values()).difference(known))
+        out: list[bytes] = [b""] * len(texts)
+        for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
+            out[i] = ids + self.end
+        apart = set(whole)
+        cut = [i for i in range(len(texts)) if i not in apart]
+        for i, ids in zip(cut, self._by_word([texts[i] for i in cut]), strict=True):
+            out[i] = ids
+        return out
+
+    def _by_word(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        parted = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        at = parted.offsets.to_numpy().astype(np.int64) - parted.offsets[0].as_py()
+        coded = parted.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        # A text's first word has no space before it; the end follows its last.
+        head = codes[at[:-1]]
+        codes[at[:-1]] = len(words)
+        used = np.flatnonzero(np.bincount(codes, minlength=len(words) + 1)[:-1])
+        heads, head = np.unique(head, return_inverse=True)
+        place = np.zeros(len(words) + 1, np.int64)
+        place[used] = np.arange(len(used))
+        codes = place[codes]
+        codes[at[:-1]] = len(used) + head
+        codes = np.insert(codes, at[1:], len(used) + len(heads))
+        if len(used) < len(words):
+            words, all_ = [words[k] for k in used.tolist()], words
+        else:
+            all_ = words
+        ids = [*self._known(words), *self._library([all_[k] for k in heads.tolist()]), self.end]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        start, length = (np.cumsum(size) - size)[codes], size[codes]
+        stop = np.cumsum(length)
+        place = np.repeat(start - stop + length, length)
+        place += np.arange(stop[-1])
+        data = pool[place].tobytes()
+        bounds = (4 * np.concatenate([[0], stop])[at + np.arange(len(at))]).tolist()
+        return [data[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """The ids of each of different words, with the space before it.
+
+        The pattern parts a word's last letter or digit from the marks that end it.
+        """
+        bare = [w.rstrip(self.MARKS) for w in words]
+        bare = [c if c and c[-1].isalnum() and c[-1] < "ɐ" else w for c, w in zip(bare, words, strict=True)]
+        known, different = self.words, set(bare)
+        new = [c for c in different if c not in known]
         if new:
-            if len(known) > self.WORDS:
-                # Bounded: start anew, with what this batch needs.
-                known = self.words = {}
-                new = list(set().union(*cut.values()))
+            if len(known) + len(new) > self.WORDS:
+                # Bounded: start anew, with what this call needs.
+                known = self.words = {c: known[c] for c in different if c in known}
             self._learn(new)
-        at = known.__getitem__
-        return [(direct[i] if i in direct else b"".join(map(at, cut[i]))) + self.end for i in range(len(texts))]
-
-    def _learn(self, units: list[str]) -> None:
-        if len(self.parts) > self.PARTS:
-            self.parts = {}
-        # Beyond Latin letters, unicode tables of the pattern may differ: one part.
-        split = [self.pattern.findall(u) if u and max(u) < "ɐ" else [u] for u in units]
-        new = list({p for parts in split for p in parts if p not in self.parts})
-        self.parts.update(zip(new, self._library(new), strict=True))
-        at = self.parts.__getitem__
-        self.words.update((u, b"".join(map(at, parts))) for u, parts in zip(units, split, strict=True))
+        tails = [w[len(c):] if len(c) < len(w) else "" for c, w in zip(bare, words, strict=True)]
+        ends = set(tails)
+        new = [t for t in ends if t not in self.tails]
+        if len(self.tails) + len(new) > self.TAILS:
+            self.tails, new = {}, list(ends)
+        self.tails.update(zip(new, self._library(new), strict=True))
+        after = self.tails
+        return [known[c] + after[t] if t else known[c] for c, t in zip(bare, tails, strict=True)]
+
+    def _learn(self, words: list[str]) -> None:
+        single = [w for w in words if not w or w[0].isspace() or w[-1].isspace()]
+        if single:
+            apart = set(single)
+            words = [w for w in words if w not in apart]
+        for lo in range(0, len(words), self.TOGETHER):
+            group = words[lo:lo + self.TOGETHER]
+            text = " " + " ".join(group)
+            if not (self.special and self.special.search(text)):
+                ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                first = np.flatnonzero(self.begins[ids])
+                if len(first) == len(group) and not first[0]:
+                    at, data = [*(4 * first).tolist(), 4 * len(ids)], ids.tobytes()
+                    self.words.update((w, data[lo:hi]) for w, lo, hi in zip(group, at[:-1], at[1:], strict=True))
+                    continue
+            single += group
+        self.words.update(zip(single, self._library([" " + w for w in single]), strict=True))
 
     def _library(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -285,8 +344,10 @@ def tokenized(docs: DataFrame, model: str, end_id: int | None = 0, id_col: str =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared, end_id)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                some = batch.slice(lo, 512)
+            # Many texts a call share their words; large texts come by fewer.
+            step = max(1, min(2048, batch.num_rows * CALL // max(batch.nbytes, 1)))
+            for lo in range(0, batch.num_rows, step):
+                some = batch.slice(lo, step)
                 yield pa.RecordBatch.from_arrays(
                     [some["doc_id"], pa.array(encoder.encode(some["text"].to_pylist()), pa.binary())],
                     ["doc_id", "ids"])
