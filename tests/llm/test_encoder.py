@@ -19,3 +19,11 @@ def test_new_words_share_a_text():
     for text, ids in zip(texts, got, strict=True):
         want = encoder.library.encode(text or "", add_special_tokens=False).ids + [0]
         assert ids == struct.pack(f"<{len(want)}I", *want)
+
+
+def test_words_held_are_few():
+    with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as file:
+        encoder = Encoder(file.read(), 0)
+    for call in range(8):
+        encoder.encode([" ".join(f"w{call}x{i}" for i in range(40_000))])
+    assert len(encoder.words) <= 200_000
