@@ -174,19 +174,23 @@ def _extended(source: DataFrame, floats: DataFrame) -> DataFrame:
 
     The hash of a longer range is met like that of a paragraph. Where all occurrences have
     the same surroundings, one look at the longest range is enough. Else each different
-    longest range, not each occurrence, looks up the lengths below it.
+    longest range, not each occurrence, looks up the lengths below it; only for these are the hashes
+    of all lengths made, from one text that holds the range.
     """
     wanted = floats.groupBy("id").agg(F.collect_set(F.struct("start", "h")).alias("at"))
     around = stored(source.join(wanted.hint("merge"), "id").mapInArrow(
-        _surroundings, "id long, start int, h long, right boolean, full long, keys array<long>"), "around")
+        _surroundings, "id long, start int, h long, right boolean, k int, full long"), "around")
     seen = around.groupBy("h", "right").agg(
         F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("full").alias("x"), F.max("full").alias("y")).where("lo < hi")
-    told = around.withColumn("k", F.size("keys")).drop("keys").join(seen.hint("merge"), ["h", "right"])
-    plain = told.where("x = y").select("id", "start", "right", "k", "lo")
-    open_ = stored(around.join(seen.where("x < y").select("h", "right").hint("merge"), ["h", "right"], "left_semi"), "open_floats")
-    kinds = stored(open_.groupBy("right", "full").agg(
-        F.min("id").alias("lo"), F.max("id").alias("hi"), F.first("keys").alias("keys")), "surroundings")
-    steps = kinds.select("right", "full", "lo", "hi", F.posexplode("keys").alias("k", "key"))
+    plain = around.join(seen.where("x = y").hint("merge"), ["h", "right"]).select("id", "start", "right", "k", "lo")
+    open_ = stored(around.drop("k").join(
+        seen.where("x < y").select("h", "right").hint("merge"), ["h", "right"], "left_semi"), "open_floats")
+    kinds = open_.groupBy("right", "full").agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(F.struct("id", "start")).alias("at"))
+    asked = kinds.groupBy("at.id").agg(F.collect_list(F.struct("at.start", "right", "full", "lo", "hi")).alias("at"))
+    known = stored(source.join(asked.hint("merge"), "id").mapInArrow(
+        _lengths, "right boolean, full long, lo long, hi long, keys array<long>"), "surroundings")
+    steps = known.select("right", "full", "lo", "hi", F.posexplode("keys").alias("k", "key"))
     met = steps.groupBy("right", "key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi")
     reach = steps.select("right", "full", "k", "key").join(met.hint("merge"), ["right", "key"]).groupBy("right", "full").agg(
         F.collect_list(F.struct((F.col("k") + 1).alias("k"), "lo")).alias("reach"))
@@ -199,33 +203,55 @@ def _extended(source: DataFrame, floats: DataFrame) -> DataFrame:
         (F.col("start") + FLOAT + F.when(F.col("right"), F.col("k")).otherwise(0)).alias("stop"), "lo")
 
 
+def _asked(batch: pa.RecordBatch):
+    """Per run of texts: first row, hashes, the rows' bounds, and of the asked places text and columns."""
+    for first, data, bounds in sh.slices(batch["text"]):
+        hashes, _, _, rows = sh.words(data, bounds)
+        at = batch["at"].slice(first, len(bounds) - 1)
+        doc = np.repeat(np.arange(len(at)), at.value_lengths().to_numpy(zero_copy_only=False))
+        columns = [x.to_numpy(zero_copy_only=False) for x in at.flatten().flatten()]
+        # Another text of the same id may be too short for the place.
+        fits = np.flatnonzero(rows[doc] + columns[0] + FLOAT <= rows[doc + 1])
+        yield first, hashes, rows, doc[fits], [x[fits] for x in columns]
+
+
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per paragraph and side the hashes of the ranges that are longer by 1, 2 ... words."""
-    steps = np.arange(1, REACH)
+    """Per paragraph and side the words, up to ``REACH - 1``, by which a range may be longer, and the hash of the longest."""
     for batch in batches:
-        for first, data, bounds in sh.slices(batch["text"]):
-            hashes, _, _, rows = sh.words(data, bounds)
-            at = batch["at"].slice(first, len(bounds) - 1)
-            doc = np.repeat(np.arange(len(at)), at.value_lengths().to_numpy(zero_copy_only=False))
-            own, h = (x.to_numpy(zero_copy_only=False) for x in at.flatten().flatten())
-            ids = batch["id"].slice(first, len(bounds) - 1).to_numpy()
+        for first, hashes, rows, doc, (own, h) in _asked(batch):
+            ids = batch["id"].slice(first, len(rows) - 1).to_numpy()
             start = rows[doc] + own
             # Another text of the same id need not hold the paragraph there.
-            fits = np.flatnonzero(start + FLOAT <= rows[doc + 1])
-            fits = fits[_range_hashes(hashes, start[fits], start[fits] + FLOAT).view(np.int64) == h[fits]]
+            fits = np.flatnonzero(_range_hashes(hashes, start, start + FLOAT).view(np.int64) == h)
             start, doc, own, h = start[fits], doc[fits], own[fits], h[fits]
             for right in (False, True):
                 room = np.minimum(rows[doc + 1] - start - FLOAT if right else start - rows[doc], REACH - 1)
                 some = np.flatnonzero(room)
-                inside = steps <= room[some, None]
-                lo = np.broadcast_to(start[some, None], inside.shape) - (0 if right else steps)
-                hi = np.broadcast_to(start[some, None] + FLOAT, inside.shape) + (steps if right else 0)
-                keys = _range_hashes(hashes, lo[inside], hi[inside])
-                ends = np.concatenate([[0], np.cumsum(room[some])])
+                full = _range_hashes(hashes, start[some] - (0 if right else room[some]),
+                                     start[some] + FLOAT + (room[some] if right else 0))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[doc[some]]), pa.array(own[some].astype(np.int32)), pa.array(h[some]),
-                    pa.array(np.full(len(some), right)), sh.signed(keys[ends[1:] - 1]), sh.lists(keys, ends)],
-                    ["id", "start", "h", "right", "full", "keys"])
+                    pa.array(np.full(len(some), right)), pa.array(room[some].astype(np.int32)), sh.signed(full)],
+                    ["id", "start", "h", "right", "k", "full"])
+
+
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each asked longest range the hashes of the ranges that are longer than the paragraph by 1, 2 ... words."""
+    steps = np.arange(1, REACH)
+    for batch in batches:
+        for _, hashes, rows, doc, (own, right, full, lo, hi) in _asked(batch):
+            start, right = rows[doc] + own, right.astype(bool)
+            room = np.minimum(np.where(right, rows[doc + 1] - start - FLOAT, start - rows[doc]), REACH - 1)
+            # Another text of the same id may have other surroundings there.
+            some = np.flatnonzero((room > 0) & (full == _range_hashes(
+                hashes, start - np.where(right, 0, room), start + FLOAT + np.where(right, room, 0)).view(np.int64)))
+            start, room, side = start[some, None], room[some], right[some, None]
+            inside = steps <= room[:, None]
+            keys = _range_hashes(hashes, (start - np.where(side, 0, steps))[inside],
+                                 (start + FLOAT + np.where(side, steps, 0))[inside])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(right[some]), pa.array(full[some]), pa.array(lo[some]), pa.array(hi[some]),
+                sh.lists(keys, np.concatenate([[0], np.cumsum(room)]))], ["right", "full", "lo", "hi", "keys"])
 
 
 def _line_sets(data: np.ndarray, bounds: np.ndarray):
