@@ -2,11 +2,50 @@
 
 import os
 import time
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from transqa.llm import passages
+from transqa.llm import minhash, passages, sentencepiece
+from transqa.llm import shingles as sh
 from transqa.llm.common import CLEANUP, stored
+from transqa.llm.sentencepiece import NORMAL, UNKNOWN, Codec, Model
+
+
+class Plain:
+    """A table whose kernel is handed back."""
+
+    def mapInArrow(self, kernel, schema):
+        return kernel
+
+
+def test_a_worker_holds_one_codec(spark):
+    def model(extra):
+        pieces = ["<unk>", "a", "b", extra]
+        return Model(pieces, [0.0] * 4, [UNKNOWN, NORMAL, NORMAL, NORMAL], False, True, 0)
+
+    first = sentencepiece._codec(sentencepiece._Shared(spark, model("c")))
+    assert sentencepiece._codec(sentencepiece._Shared(spark, model("c"))) is first
+    other = sentencepiece._codec(sentencepiece._Shared(spark, model("d")))
+    assert isinstance(other, Codec) and "d" in other.by_text and "d" not in first.by_text
+    assert len(sentencepiece._codecs) == 1
+
+
+def test_sketches_of_short_sets():
+    n, size = 5000, 4
+    values = np.arange(n * size, dtype=np.uint64)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(n)), sh.lists(values, np.arange(n + 1) * size)], ["id", "full"])
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in minhash._sketches(Plain())(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == n
+    assert peak < 60e6
 
 
 def test_stored_leaves_no_shuffle_files(spark):

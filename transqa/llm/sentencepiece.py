@@ -12,6 +12,7 @@ neither words nor texts are shuffled.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 import struct
@@ -316,12 +317,13 @@ class Codec:
         return out
 
 
-_codecs: dict[int, Codec] = {}
+_codecs: dict[str, Codec] = {}
 
 
 def _codec(shared) -> Codec:
-    """The worker's codec, kept for its next tasks with the words it has met."""
+    """The worker's codec, kept for its next tasks with the words it has met; another model's goes."""
     if shared.id not in _codecs:
+        _codecs.clear()
         _codecs[shared.id] = Codec(shared.value)
     return _codecs[shared.id]
 
@@ -331,7 +333,7 @@ class _Shared:
 
     def __init__(self, spark: SparkSession, model: Model):
         self.held = spark.sparkContext.broadcast(model)
-        self.id = id(model)
+        self.id = hashlib.sha256(repr(model).encode()).hexdigest()     # the same in every session and run
 
     @property
     def value(self) -> Model:

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE = 1 << 20
+ROWS = 1 << 9       # sets of a batch at most: a sketch of one holds 16 kB
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
@@ -132,14 +133,14 @@ def lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """Ids, values and bounds of batches of (id, full) of about SLICE bytes."""
+    """Ids, values and bounds of batches of (id, full) of about SLICE bytes and at most ROWS rows."""
     for batch in batches:
         full = batch["full"]
         ends = np.cumsum(full.value_lengths().to_numpy(zero_copy_only=False))
         first = 0
         while first < len(full):
             base = ends[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, base + SLICE // 8, "right")))
+            last = min(first + ROWS, max(first + 1, int(np.searchsorted(ends, base + SLICE // 8, "right"))))
             values = full.slice(first, last - first).flatten().to_numpy().view(np.uint64)
             yield batch["id"].slice(first, last - first), values, np.concatenate([[0], ends[first:last] - base])
             first = last
