@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -205,19 +204,32 @@ class PlaneReader(DataSourceReader):
 
 
 class Encoder:
-    """Whole texts to ids by the tokenizers library, each different word encoded once.
-
-    Byte-level BPE never joins what its splitting pattern parts, and before a single space
-    between two other characters it always parts; so a text is the sum of its
-    words, each with the space before it. A call's different words are looked up without the marks that end them, and those not met
-    before go to the library, many in one text: there each one's only token that begins with
-    a space is its first; where that does not hold, they go one by one. Texts of other tokenizers, with other white space before a space, or with
-    special tokens go to it whole.
+    """Whole texts to ids by the tokenizers library, each different piece encoded once.
+
+    Byte-level BPE never joins what its splitting pattern parts. It always parts before white
+    space that follows another character, before the last white space of a run that goes on
+    with another character, after that one if it is no space, and between letters or digits
+    and punctuation (but the apostrophe). A text is cut there, so it is the sum of its pieces;
+    a call's different pieces are looked up as one column, and those not met before go to the
+    library many in one text. There a piece begins with the only token that begins with its
+    lead, a space or a line feed; where that does not hold, they go one by one. In texts with
+    white space beyond ASCII, only what lies between ASCII characters is cut. Texts of other
+    tokenizers or with special tokens go to the library whole.
     """
 
-    # Most words come once, and frequent ones in every call: a larger table costs memory and saves no time.
-    WORDS, TAILS, TOGETHER = 200_000, 10_000, 1024
-    MARKS = ".,;:!?#*$%&|<>"
+    # Most words come once, and frequent ones in every call: pieces held, what a call that
+    # does not meet one leaves of its worth, and pieces of a text for the library.
+    WORDS, FADE, TOGETHER = 200_000, 0.9, 256
+    # What a byte is (OTHER: the apostrophe, control characters, all beyond ASCII).
+    OTHER, ALNUM, MARK, SPACE, BREAK = range(5)
+    KINDS = bytes(
+        4 if b in b"\t\n\v\f\r" else 3 if b == 32 else 1 if b < 128 and chr(b).isalnum()
+        else 2 if 32 < b < 127 and b != 39 else 0 for b in range(256))
+    # Which neighbours (5 * kind + next kind) are parted; wary: whatever OTHER may be.
+    PARTED = bytes(b >= 3 > a or (a == 4 and b < 3) or {a, b} == {1, 2} for a in range(5) for b in range(5)).ljust(256, b"\0")
+    WARY = bytes(p and k > 4 and k % 5 > 0 for k, p in enumerate(PARTED))
+    # White space beyond ASCII, and what other patterns take for it.
+    ODD = "\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
     def __init__(self, model: str, end_id: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -226,103 +238,128 @@ class Encoder:
         self.library = Tokenizer.from_str(model)
         told = json.loads(model)
         split = told.get("pre_tokenizer") or {}
-        self.by_word = (
+        self.by_piece = (
             told.get("normalizer") is None and split.get("type") == "ByteLevel"
             and not split.get("add_prefix_space") and split.get("use_regex", True))
-        special = [re.escape(t["content"]) for t in told.get("added_tokens", [])]
-        self.inner = re.compile(r"\s ")
-        self.special = re.compile("|".join(special)) if special else None
+        self.special = [t["content"] for t in told.get("added_tokens", [])]
         size = self.library.get_vocab_size(with_added_tokens=True)
-        self.begins = np.array([(self.library.id_to_token(i) or "").startswith("\u0120") for i in range(size)], bool)
+        tokens = [self.library.id_to_token(i) or "" for i in range(size)]
+        self.begins = {lead: np.array([t.startswith(sign) for t in tokens], bool)
+                       for lead, sign in ((" ", "\u0120"), ("\n", "\u010a"))}
         self.end = b"" if end_id is None else struct.pack("<I", end_id)
-        self.words: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        # The pieces held, their ids and in how many calls they were met, late calls counting most.
+        self.words = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+        self.met = np.zeros(0)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t or "" for t in texts]
-        whole = [i for i, t in enumerate(texts)
-                 if not self.by_word or self.inner.search(t) or (self.special and self.special.search(t))]
-        out: list[bytes] = [b""] * len(texts)
-        for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
-            out[i] = ids + self.end
-        apart = set(whole)
-        cut = [i for i in range(len(texts)) if i not in apart]
-        for i, ids in zip(cut, self._by_word([texts[i] for i in cut]), strict=True):
-            out[i] = ids
+        return self.column(pa.array(texts, pa.large_string())).to_pylist()
+
+    def column(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text (null: empty), the end id after them."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        odd = pc.match_substring_regex(texts, f"[{self.ODD}]").to_numpy(zero_copy_only=False)
+        whole = np.full(len(texts), not self.by_piece)
+        for token in self.special:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        way = np.where(whole, 2, odd)
+        if not way.any():
+            return self._by_piece(texts)
+        plain, odd, whole = (texts.filter(pa.array(way == k)) for k in range(3))
+        out = pa.concat_arrays([
+            self._by_piece(plain), self._by_piece(odd, wary=True),
+            pa.array([i + self.end for i in self._library(whole.to_pylist())], pa.large_binary())])
+        place = np.empty(len(texts), np.int64)
+        place[np.argsort(way, kind="stable")] = np.arange(len(texts))
+        return out.take(pa.array(place))
+
+    def _by_piece(self, texts: pa.Array, wary: bool = False) -> pa.Array:
+        bounds = _offsets(texts)
+        data = (texts.buffers()[2] or pa.py_buffer(b"")).slice(bounds[0], bounds[-1] - bounds[0])
+        bounds = bounds - bounds[0]
+        at = self._cuts(data, bounds, wary)
+        coded = _column(pa.large_string(), np.append(at, len(data)), data).dictionary_encode()
+        ids = pa.concat_arrays([self._known(coded.dictionary), pa.array([self.end], pa.large_binary())])
+        last = np.searchsorted(at, bounds)[1:]      # pieces up to each text's end
+        codes = np.insert(coded.indices.to_numpy(), last, len(ids) - 1)
+        flat = ids.take(pa.array(codes))
+        stops = _offsets(flat)[np.append(0, last + np.arange(1, len(texts) + 1))]
+        return _column(pa.large_binary(), stops, flat.buffers()[2])
+
+    def _cuts(self, data: pa.Buffer, bounds: np.ndarray, wary: bool) -> np.ndarray:
+        """Where pieces begin, in texts that end at ``bounds``."""
+        text, n = np.frombuffer(data, np.uint8), len(data)
+        kind = np.frombuffer(data.to_pybytes().translate(self.KINDS), np.uint8)
+        pair = kind[:-1] * np.uint8(5) + kind[1:]
+        cut = np.zeros(n, bool)
+        cut[1:] = np.frombuffer(pair.tobytes().translate(self.WARY if wary else self.PARTED), bool)
+        last = np.zeros(n + 1, bool)
+        last[bounds] = True
+        # The last of several white spaces, unless they end the text.
+        white = np.flatnonzero(pair >= 18) + 1
+        white = white[(kind[white - 1] >= self.SPACE) & (kind[white] >= self.SPACE) & ~last[white + 1]]
+        cut[white[(kind[white + 1] < self.SPACE) & (kind[white + 1] >= wary)]] = True
+        # Marks after a Latin letter of two bytes, but the signs of multiplication and division.
+        mark = np.flatnonzero(pair == self.MARK) + 1
+        mark = mark[mark >= 2]
+        lead, rest = text[mark - 2], text[mark - 1]
+        cut[mark[(lead >= 0xC3) & (lead <= 0xC5) & ~((lead == 0xC3) & ((rest == 0x97) | (rest == 0xB7)))]] = True
+        cut |= last[:-1]
+        return np.flatnonzero(cut)
+
+    def _known(self, words: pa.Array) -> pa.Array:
+        """The ids of each of different pieces."""
+        place = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place = place.copy()
+            place[new] = np.arange(len(self.words), len(self.words) + len(new))
+            fresh = words.take(pa.array(new))
+            self.words = pa.concat_arrays([self.words, fresh])
+            self.ids = pa.concat_arrays([self.ids, self._learned(fresh)])
+            self.met = np.append(self.met, np.zeros(len(new)))
+        self.met *= self.FADE
+        self.met[place] += 1
+        out = self.ids.take(pa.array(place))
+        if len(self.words) > self.WORDS:
+            # Bounded: what was met most stays, in the order in which it came.
+            stay = np.sort(np.argsort(self.met, kind="stable")[-self.WORDS:])
+            self.words, self.ids = self.words.take(pa.array(stay)), self.ids.take(pa.array(stay))
+            self.met = self.met[stay]
         return out
 
-    def _by_word(self, texts: list[str]) -> list[bytes]:
-        if not texts:
-            return []
-        parted = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        at = parted.offsets.to_numpy().astype(np.int64) - parted.offsets[0].as_py()
-        coded = parted.flatten().dictionary_encode()
-        codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-        # A text's first word has no space before it; the end follows its last.
-        head = codes[at[:-1]]
-        codes[at[:-1]] = len(words)
-        used = np.flatnonzero(np.bincount(codes, minlength=len(words) + 1)[:-1])
-        heads, head = np.unique(head, return_inverse=True)
-        place = np.zeros(len(words) + 1, np.int64)
-        place[used] = np.arange(len(used))
-        codes = place[codes]
-        codes[at[:-1]] = len(used) + head
-        codes = np.insert(codes, at[1:], len(used) + len(heads))
-        if len(used) < len(words):
-            words, all_ = [words[k] for k in used.tolist()], words
-        else:
-            all_ = words
-        ids = [*self._known(words), *self._library([all_[k] for k in heads.tolist()]), self.end]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        start, length = (np.cumsum(size) - size)[codes], size[codes]
-        stop = np.cumsum(length)
-        place = np.repeat(start - stop + length, length)
-        place += np.arange(stop[-1])
-        data = pool[place].tobytes()
-        bounds = (4 * np.concatenate([[0], stop])[at + np.arange(len(at))]).tolist()
-        return [data[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
-
-    def _known(self, words: list[str]) -> list[bytes]:
-        """The ids of each of different words, with the space before it.
-
-        The pattern parts a word's last letter or digit from the marks that end it.
-        """
-        bare = [w.rstrip(self.MARKS) for w in words]
-        bare = [c if c and c[-1].isalnum() and c[-1] < "ɐ" else w for c, w in zip(bare, words, strict=True)]
-        known, different = self.words, set(bare)
-        new = [c for c in different if c not in known]
-        if new:
-            if len(known) + len(new) > self.WORDS:
-                # Bounded: start anew, with what this call needs.
-                known = self.words = {c: known[c] for c in different if c in known}
-            self._learn(new)
-        tails = [w[len(c):] if len(c) < len(w) else "" for c, w in zip(bare, words, strict=True)]
-        ends = set(tails)
-        new = [t for t in ends if t not in self.tails]
-        if len(self.tails) + len(new) > self.TAILS:
-            self.tails, new = {}, list(ends)
-        self.tails.update(zip(new, self._library(new), strict=True))
-        after = self.tails
-        return [known[c] + after[t] if t else known[c] for c, t in zip(bare, tails, strict=True)]
-
-    def _learn(self, words: list[str]) -> None:
-        single = [w for w in words if not w or w[0].isspace() or w[-1].isspace()]
-        if single:
-            apart = set(single)
-            words = [w for w in words if w not in apart]
+    def _learned(self, words: pa.Array) -> pa.Array:
+        plain = pc.match_substring_regex(words, rf"^ ?[^\t-\r {self.ODD}]+$").to_numpy(zero_copy_only=False)
+        spaced = pc.starts_with(words, " ").to_numpy(zero_copy_only=False)
+        groups = [np.flatnonzero(g) for g in (plain & spaced, plain & ~spaced, ~plain)]
+        some = [words.take(pa.array(g)) for g in groups]
+        ids = pa.concat_arrays([
+            self._together(some[0], some[0], " "),
+            self._together(some[1], pc.binary_join_element_wise("", some[1].cast(pa.string()), "\n").cast(pa.large_string()), "\n"),
+            pa.array(self._library(some[2].to_pylist()), pa.large_binary())])
+        place = np.empty(len(words), np.int64)
+        place[np.concatenate(groups)] = np.arange(len(words))
+        return ids.take(pa.array(place))
+
+    def _together(self, words: pa.Array, led: pa.Array, lead: str) -> pa.Array:
+        """The ids of pieces, many of them in one text; ``led`` has them with the lead before each."""
+        begins, out = self.begins[lead], []
+        bounds, data = _offsets(led), led.buffers()[2]
         for lo in range(0, len(words), self.TOGETHER):
-            group = words[lo:lo + self.TOGETHER]
-            text = " " + " ".join(group)
-            if not (self.special and self.special.search(text)):
+            n = min(self.TOGETHER, len(words) - lo)
+            text = data[bounds[lo]:bounds[lo + n]].to_pybytes().decode()
+            if not any(token in text for token in self.special):
                 ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-                first = np.flatnonzero(self.begins[ids])
-                if len(first) == len(group) and not first[0]:
-                    at, data = [*(4 * first).tolist(), 4 * len(ids)], ids.tobytes()
-                    self.words.update((w, data[lo:hi]) for w, lo, hi in zip(group, at[:-1], at[1:], strict=True))
+                starts = begins[ids]
+                first = np.flatnonzero(starts)
+                if len(first) == n and not first[0]:
+                    stops = np.append(first, len(ids))
+                    if lead == "\n":
+                        ids, stops = ids[~starts], stops - np.append(np.arange(n), n)
+                    out.append(_column(pa.large_binary(), 4 * stops, pa.py_buffer(ids)))
                     continue
-            single += group
-        self.words.update(zip(single, self._library([" " + w for w in single]), strict=True))
+            out.append(pa.array(self._library(words.slice(lo, n).to_pylist()), pa.large_binary()))
+        return pa.concat_arrays(out) if out else pa.array([], pa.large_binary())
 
     def _library(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -332,6 +369,18 @@ class Encoder:
         return out
 
 
+def _offsets(column: pa.Array) -> np.ndarray:
+    """Where the values of a large string or binary column lie in its data, and the end of the last."""
+    if not len(column):
+        return np.zeros(1, np.int64)
+    return np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+
+
+def _column(kind: pa.DataType, bounds: np.ndarray, data: pa.Buffer | None) -> pa.Array:
+    bounds = np.ascontiguousarray(bounds, np.int64)
+    return pa.Array.from_buffers(kind, len(bounds) - 1, [None, pa.py_buffer(bounds), data or pa.py_buffer(b"")])
+
+
 def tokenized(docs: DataFrame, model: str, end_id: int | None = 0, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """Ids of every whole text (null: empty) as little-endian unsigned 32-bit integers.
@@ -350,7 +399,7 @@ def tokenized(docs: DataFrame, model: str, end_id: int | None = 0, id_col: str =
             for lo in range(0, batch.num_rows, step):
                 some = batch.slice(lo, step)
                 yield pa.RecordBatch.from_arrays(
-                    [some["doc_id"], pa.array(encoder.encode(some["text"].to_pylist()), pa.binary())],
+                    [some["doc_id"], encoder.column(some["text"]).cast(pa.binary())],
                     ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
